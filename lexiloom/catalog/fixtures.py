@@ -71,17 +71,20 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
     return read_indexed(spark, f"{sf}/conversations.parquet")
 
 
+def questions(spark: SparkSession, sf: str) -> DataFrame:
+    return turns(spark, sf).filter("role = 'user'")
+
+
+def answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Each answer under the key of the turn before it."""
+    said = table(spark, sf, "conversations").filter("role = 'assistant'")
+    return said.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+
+
 def pair_rows(spark: SparkSession, sf: str) -> DataFrame:
     """``set = [question, answer]`` per user turn; ``[question]`` where none follows."""
-    said = turns(spark, sf)
-    answers = said.filter("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
-    )
-    return (
-        said.filter("role = 'user'")
-        .join(answers, ["conv_id", "turn"], "left")
-        .select("index", F.array_compact(F.array("text", "answer")).alias("set"))
-    )
+    both = questions(spark, sf).join(answers(spark, sf), ["conv_id", "turn"], "left")
+    return both.select("index", F.array_compact(F.array("text", "answer")).alias("set"))
 
 
 def triplet_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,9 +93,9 @@ def triplet_rows(spark: SparkSession, sf: str) -> DataFrame:
     Answers go to the turns they serve by key, at most three to each, so one
     endless conversation is still spread over all tasks.
     """
-    said = turns(spark, sf)
     served = (
-        said.filter("role = 'assistant'")
+        table(spark, sf, "conversations")
+        .filter("role = 'assistant'")
         .select("conv_id", "turn", "text", F.explode(F.array(F.lit(1), F.lit(3), F.lit(5))).alias("back"))
         .select("conv_id", (F.col("turn") - F.col("back")).alias("turn"), "back", "text")
         .groupBy("conv_id", "turn")
@@ -107,7 +110,7 @@ def triplet_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.transform("later", lambda x: x["text"]), F.array().cast("array<string>")
     )
     return (
-        said.filter("role = 'user'")
+        questions(spark, sf)
         .join(served, ["conv_id", "turn"], "left")
         .select(
             "index",
@@ -125,10 +128,6 @@ def reasoning_rows(spark: SparkSession, sf: str) -> DataFrame:
 
     ``opening`` tells first questions from later ones.
     """
-    said = turns(spark, sf)
-    answers = said.filter("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
-    )
     response = F.concat(
         F.lit("<Thought>"),
         F.col("answer"),
@@ -137,8 +136,8 @@ def reasoning_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("</Output>"),
     )
     return (
-        said.filter("role = 'user'")
-        .join(answers, ["conv_id", "turn"], "left")
+        questions(spark, sf)
+        .join(answers(spark, sf), ["conv_id", "turn"], "left")
         .select(
             "index",
             F.translate("text", STANDINS, HAN_LETTERS).alias("prompt"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1C-\x1F]"  # with (?U): what counts as white space around a text
 VISIBLE_ASCII = r"[!-~]"
 HAN = r"[\x{4E00}-\x{9FFF}]"
-INTEGER = rf"(?U)\A{SPACE}*[+-]?\d+(_\d+)*{SPACE}*\z"
+INTEGER = r"(?U)\A\s*[+-]?\d+(_\d+)*\s*\z"
 MARKUP_TOKEN = r"<[^>]*>|[^<]+|<[^>]*\z"
 SENTENCE_END = r"(?U)(?<=[.!?])\s+"
 WORD_LIMIT = 470

@@ -21,31 +21,31 @@ def _draw(seed: int, repeat: int, step: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def with_partners(
-    sentences: DataFrame,
-    block_size: int = BLOCK_SIZE,
-    partners: int = PARTNERS,
-    repeats: int = REPEATS,
-    seed: int = SEED,
+def _with_draws(
+    sentences: DataFrame, block_size: int, partners: int, repeats: int, seed: int
 ) -> DataFrame:
-    """Adds ``partners``: per repeat, that many different other rows of the block.
+    """Adds what the sample of a row is made from: its place, its block's size, its draws."""
+    # The row count is a scalar subquery over the one column: no join.
+    total = (sentences.agg(F.max("idx")).scalar() + 1).cast("bigint")
+    start = batch_id(F.col("idx"), block_size) * block_size
+    # Written out per draw rather than as a lambda, so that it is compiled.
+    draws = [F.array(*[_draw(seed, r, s) for s in range(partners)]) for r in range(repeats)]
+    return sentences.select(
+        "*",
+        start.alias("_start"),
+        (F.least(F.lit(block_size).cast("bigint"), total - start) - 1).alias("_others"),
+        F.array(*draws).alias("_draws"),
+    )
+
+
+def _partner_lists(partners: int) -> Column:
+    """Per repeat, that many different other rows of the block.
 
     Floyd's sampling without replacement: ``partners`` draws per row and
     repeat, whatever the block size, and no shuffle. With fewer others in the
-    block, all of them. ``idx`` must run from 0 without gaps.
+    block, all of them.
     """
-    # The row count is a scalar subquery over the one column: no join.
-    total = (sentences.agg(F.max("idx")).scalar() + 1).cast("bigint")
-    placed = sentences.withColumn("_total", total).withColumn(
-        "_start", batch_id(F.col("idx"), block_size) * block_size
-    )
     others, offset = F.col("_others"), F.col("idx") - F.col("_start")
-    ready = placed.withColumn(
-        "_others", F.least(F.lit(block_size), F.col("_total") - F.col("_start")).cast("bigint") - 1
-    ).withColumn(
-        "_draws",
-        F.array(*[F.array(*[_draw(seed, r, s) for s in range(partners)]) for r in range(repeats)]),
-    )
     nobody = F.array().cast("array<bigint>")
 
     def one_repeat(draws: Column) -> Column:
@@ -64,15 +64,24 @@ def with_partners(
             lambda p: F.col("_start") + p + F.when(p >= offset, 1).otherwise(0),
         )
 
-    return ready.withColumn("partners", F.transform("_draws", one_repeat)).drop(
-        "_total", "_start", "_others", "_draws"
-    )
+    return F.transform("_draws", one_repeat)
 
 
-def sample_partners(sentences: DataFrame, **options: int) -> DataFrame:
-    """(idx1, rep, partners): the sampled partners of each row, in draw order."""
-    return with_partners(sentences, **options).select(
-        F.col("idx").alias("idx1"), F.posexplode("partners").alias("rep", "partners")
+def sample_partners(
+    sentences: DataFrame,
+    block_size: int = BLOCK_SIZE,
+    partners: int = PARTNERS,
+    repeats: int = REPEATS,
+    seed: int = SEED,
+) -> DataFrame:
+    """(idx1, rep, partners): the sampled partners of each row, in draw order.
+
+    ``idx`` must run from 0 without gaps. The lists go into the generator as
+    an expression: from a named column Spark would infer a filter and sample
+    again for it.
+    """
+    return _with_draws(sentences, block_size, partners, repeats, seed).select(
+        F.col("idx").alias("idx1"), F.posexplode(_partner_lists(partners)).alias("rep", "partners")
     )
 
 
@@ -101,7 +110,13 @@ def score_pairs(pairs: DataFrame, sentences: DataFrame) -> DataFrame:
     )
 
 
-def similar_pairs(sentences: DataFrame, block_size: int = BLOCK_SIZE, **options: int) -> DataFrame:
+def similar_pairs(
+    sentences: DataFrame,
+    block_size: int = BLOCK_SIZE,
+    partners: int = PARTNERS,
+    repeats: int = REPEATS,
+    seed: int = SEED,
+) -> DataFrame:
     """Sampled, scored and deduplicated pairs with a single shuffle.
 
     Partners never leave their block, so each block (at most ``block_size``
@@ -109,11 +124,10 @@ def similar_pairs(sentences: DataFrame, block_size: int = BLOCK_SIZE, **options:
     is recognised there too: when both rows drew each other, the lower id's
     draw is the first seen and the other one is left out.
     """
-    members = with_partners(sentences, block_size=block_size, **options).select(
+    drawn = F.array_distinct(F.flatten(_partner_lists(partners)))
+    members = _with_draws(sentences, block_size, partners, repeats, seed).select(
         batch_id(F.col("idx"), block_size).alias("batch_id"),
-        F.struct("idx", "text", "embedding", F.array_distinct(F.flatten("partners")).alias("drawn")).alias(
-            "member"
-        ),
+        F.struct("idx", "text", "embedding", drawn.alias("drawn")).alias("member"),
     )
     blocks = members.groupBy("batch_id").agg(F.sort_array(F.collect_list("member")).alias("block"))
     block, start = F.col("block"), F.col("batch_id") * block_size

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.operators import detection, dictionary, export, indexing, pairs, translation
@@ -120,6 +120,16 @@ def _resumable(
     return spark.read.parquet(out)
 
 
+def last_outcomes(written: DataFrame, index: str = "index") -> DataFrame:
+    """(index, status, reason, processed_at): each row's latest outcome over all runs."""
+    latest = F.max_by(F.struct("status", "reason"), "processed_at")
+    return (
+        written.groupBy(index)
+        .agg(latest.alias("_last"), F.max("processed_at").alias("processed_at"))
+        .select(index, "_last.status", "_last.reason", "processed_at")
+    )
+
+
 def pair_corpus(
     df: DataFrame, out: str, engine: Engine, skip: int = 0, max_rows: int | None = None
 ) -> DataFrame:
