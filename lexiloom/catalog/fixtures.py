@@ -6,7 +6,7 @@ every text of the given table is used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import split_sentences
@@ -14,9 +14,9 @@ from lexiloom.operators.indexing import read_indexed
 
 GLOSSARY = {"the": "el", "and": "y", "of": "de", "to": "a", "that": "que", "in": "en"}
 
-# Letters of the generated texts that stand in for Han characters, of which the
-# texts have none.
-STANDINS, HAN_LETTERS = "êü", "漢字"
+# A letter of the generated texts that stands in for a Han character, of which
+# the texts have none.
+STANDIN, HAN_LETTER = "ê", "漢"
 
 # Rows with longer texts than this are what the limited translator rejects.
 MAX_WORDS = 150
@@ -26,6 +26,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def planted(text: Column) -> Column:
+    return F.replace(text, F.lit(STANDIN), F.lit(HAN_LETTER))
+
+
 def dictionary_entries(spark: SparkSession, sf: str) -> DataFrame:
     """One entry per document; a sense per line, tagged by the line's first letter.
 
@@ -33,7 +37,7 @@ def dictionary_entries(spark: SparkSession, sf: str) -> DataFrame:
     original form. The part of speech goes by the last letter of the word, and a
     word with a full stop in it counts as absent.
     """
-    word = F.lower(F.split_part(F.col("text"), F.lit(" "), F.lit(1)))
+    word = F.lower(F.substring_index("text", " ", 1))
     last = F.right(word, F.lit(1))
     part = (
         F.when(last.isin("n", "s"), "noun")
@@ -50,7 +54,7 @@ def dictionary_entries(spark: SparkSession, sf: str) -> DataFrame:
             .when(letter == "e", F.array(F.lit("form-of")))
             .when(letter == "t", F.array(F.lit("rare")))
         )
-        original = F.lower(F.split_part(line, F.lit(" "), F.lit(1)))
+        original = F.lower(F.substring_index(line, " ", 1))
         return F.struct(
             F.when(line != "", F.array(line)).alias("glosses"),
             tags.alias("tags"),
@@ -101,7 +105,7 @@ def triplet_rows(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("conv_id", "turn")
         .agg(
             F.max(F.when(F.col("back") == 1, F.col("text"))).alias("answer"),
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.when(F.col("back") > 1, F.struct("back", "text")))
             ).alias("later"),
         )
@@ -124,7 +128,7 @@ def triplet_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reasoning_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompt with stand-in Han letters, response with thought and output blocks.
+    """Prompt with planted Han letters, response with thought and output blocks.
 
     ``opening`` tells first questions from later ones.
     """
@@ -140,7 +144,7 @@ def reasoning_rows(spark: SparkSession, sf: str) -> DataFrame:
         .join(answers(spark, sf), ["conv_id", "turn"], "left")
         .select(
             "index",
-            F.translate("text", STANDINS, HAN_LETTERS).alias("prompt"),
+            planted(F.col("text")).alias("prompt"),
             response.alias("response"),
             (F.col("turn") < 2).alias("opening"),
         )
@@ -172,7 +176,7 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
 def image_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Paragraphs as payloads: empty ones stand for unreadable images, short ones are none."""
     paragraphs = F.regexp_extract_all(
-        F.translate("html", STANDINS, HAN_LETTERS), F.lit("<p>([^<]*)"), F.lit(1)
+        planted(F.col("html")), F.lit("<p>([^<]*)"), F.lit(1)
     )
     payloads = F.filter(paragraphs, lambda p: (p == "") | (F.length(p) >= 200))
     return table(spark, sf, "pages").select(

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from lexiloom.catalog.fixtures import GLOSSARY, HAN_LETTERS, MAX_WORDS, STANDINS
+from lexiloom.catalog.fixtures import GLOSSARY, HAN_LETTER, MAX_WORDS, STANDIN
 
 MISSING = "missing field"
 REJECTED = f"RowRejected: more than {MAX_WORDS} words"
 
 
+def planted(text: str) -> str:
+    return f"replace({text}, '{STANDIN}', '{HAN_LETTER}')"
+
+
 def translated(text: str) -> str:
     """The glossary applied word by word."""
     cases = " ".join(f"WHEN '{word}' THEN '{target}'" for word, target in GLOSSARY.items())
@@ -98,7 +102,7 @@ qqp AS (
 
 REASONING = f"""{PAIRS},
 o1 AS (
-  SELECT "index", translate(q, '{STANDINS}', '{HAN_LETTERS}') AS prompt,
+  SELECT "index", {planted('q')} AS prompt,
     '<Thought>' || a || '</Thought>' || chr(10) || '<Output>' || ({sentences_of("a")})[1]
       || '</Output>' AS response,
     turn < 2 AS opening
@@ -138,7 +142,7 @@ IMAGES = f"""
 k12 AS (
   SELECT CAST(page_id AS VARCHAR) AS id,
     list_transform(
-      list_filter(regexp_extract_all(translate(html, '{STANDINS}', '{HAN_LETTERS}'), '<p>([^<]*)', 1),
+      list_filter(regexp_extract_all({planted('html')}, '<p>([^<]*)', 1),
         lambda p: p = '' OR length(p) >= 200),
       lambda p: nullif(p, '')) AS images,
     html AS problem, url AS answer,

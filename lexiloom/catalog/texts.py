@@ -12,6 +12,7 @@ from lexiloom.catalog.sql import (
     REASONING,
     SEGMENTS,
     chunks_of,
+    planted,
     sentences_of,
 )
 from lexiloom.functions import text as tx
@@ -23,8 +24,7 @@ HEADER = "Translate the following English text into Spanish:\n\n\n"
 
 def ascii_no_han(spark: SparkSession, sf: str) -> DataFrame:
     docs = fixtures.table(spark, sf, "documents")
-    planted = F.translate("text", fixtures.STANDINS, fixtures.HAN_LETTERS)
-    return docs.select("doc_id", tx.ascii_no_han(planted).alias("passes"))
+    return docs.select("doc_id", tx.ascii_no_han(fixtures.planted(F.col("text"))).alias("passes"))
 
 
 def is_integer_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,10 +116,8 @@ def _blocks(tag: str) -> str:
     )
 
 
-_PLANTED = f"translate(text, '{fixtures.STANDINS}', '{fixtures.HAN_LETTERS}')"
-
 SQL = {
-    "ascii_no_han": f"SELECT doc_id, {ASCII_NO_HAN.format(_PLANTED)} AS passes FROM documents",
+    "ascii_no_han": f"SELECT doc_id, {ASCII_NO_HAN.format(planted('text'))} AS passes FROM documents",
     "is_integer_text": f"""WITH listed AS (
   SELECT page_id, regexp_split_to_array(url, '[/?&=#]') AS items FROM pages),
 pieces AS (

@@ -8,12 +8,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns and limits that decide the results.
-SPACE = r"[\s\x1C-\x1F]"  # with (?U): what counts as white space around a text
+# White space as Python's str.strip and str.split see it.
+SPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(code) for code in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 VISIBLE_ASCII = r"[!-~]"
 HAN = r"[\x{4E00}-\x{9FFF}]"
 INTEGER = r"(?U)\A\s*[+-]?\d+(_\d+)*\s*\z"
 MARKUP_TOKEN = r"<[^>]*>|[^<]+|<[^>]*\z"
-SENTENCE_END = r"(?U)(?<=[.!?])\s+"
+WORD_GAP = r"(?U)[\s\x1C-\x1F]"  # the same characters, faster where each one is tested
+SENTENCE_END = rf"(?<=[.!?]){SPACE}+"
 WORD_LIMIT = 470
 
 
@@ -23,7 +30,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
 
 def has_han(text: Column) -> Column:
@@ -63,7 +70,10 @@ def chunk_words(text: Column, limit: int = WORD_LIMIT) -> Column:
         )
         return F.when(size > limit, cut).otherwise(F.array(text))
 
-    return bind(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""), pieces)
+    # Words take two characters each but the last: shorter texts are not split.
+    return F.when(
+        F.length(text) > 2 * limit, bind(F.split(strip(text), f"{WORD_GAP}+"), pieces)
+    ).otherwise(F.array(text))
 
 
 def segment_markup(text: Column, strip_plain: bool = True, keep_leading: bool = True) -> Column:

@@ -24,9 +24,9 @@ def select_entries(
 ) -> DataFrame:
     """Entries with a word, in one language, of the given parts of speech."""
     return entries.filter(
-        F.col("word").isNotNull()
-        & (F.col("lang_code") == language)
+        (F.col("lang_code") == language)
         & F.col("pos").isin(*parts_of_speech)
+        & F.col("word").isNotNull()
     )
 
 

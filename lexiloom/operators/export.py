@@ -24,7 +24,7 @@ def manifest(
     named = rows.select(
         "id",
         image_names(F.col("id"), F.col("images"), image_format).alias("image_filenames"),
-        F.regexp_replace(F.coalesce("problem", empty), "\n", " ").alias("problem"),
+        F.replace(F.coalesce("problem", empty), F.lit("\n"), F.lit(" ")).alias("problem"),
         F.coalesce("answer", empty).alias("answer"),
         F.coalesce(F.col("pass").cast("string"), empty).alias("pass"),
     )

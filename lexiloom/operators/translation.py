@@ -221,7 +221,7 @@ def translate_by_glossary_table(
     )
     text = F.array_join(
         F.transform(
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.struct("_at", F.coalesce("_target", "word").alias("word")))
             ),
             lambda w: w["word"],

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiloom.functions.names import batch_id
 from lexiloom.operators import detection, dictionary, export, indexing, pairs, translation
 from lexiloom.operators.engines import Engine
 from lexiloom.schemas import (
@@ -41,10 +42,19 @@ def clean_images(
     return writers.publish(kept, f"{out}/published")
 
 
-def sentence_similarity(sentences: DataFrame, out: str, **options: int) -> DataFrame:
-    """Sampled, scored, deduplicated pairs, written by batch; returns them."""
-    size = options.get("block_size", pairs.BLOCK_SIZE)
-    writers.write_batches(pairs.similar_pairs(sentences, **options), out, "batch_id", size)
+def sentence_similarity(
+    sentences: DataFrame, out: str, blocks_per_folder: int = 1000, **options: int
+) -> DataFrame:
+    """Sampled, scored, deduplicated pairs, written by batch; returns them.
+
+    A folder takes the pairs of many blocks, so their number stays in hand on
+    large inputs. The pairs lie by block already and are not shuffled again.
+    """
+    size = options.get("block_size", pairs.BLOCK_SIZE) * blocks_per_folder
+    found = pairs.similar_pairs(sentences, **options).withColumn(
+        "batch_id", batch_id(F.col("idx1"), size)
+    )
+    writers.write_batches(found, out, "batch_id", size, gather=False)
     written = readers.read_batches(sentences.sparkSession, out, SCORED_PAIRS)
     return conform(written, SCORED_PAIR_COLUMNS)
 

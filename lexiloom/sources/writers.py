@@ -32,16 +32,21 @@ def write_csv(df: DataFrame, path: str, overwrite: bool = True) -> None:
     lists_as_json(df).write.mode(_mode(overwrite)).options(**CSV_OPTIONS).csv(path)
 
 
-def write_batches(df: DataFrame, path: str, batch: str = "batch_id", size: int = 1000) -> None:
+def write_batches(
+    df: DataFrame, path: str, batch: str = "batch_id", size: int = 1000, gather: bool = True
+) -> None:
     """One folder per batch, named after its rows; a re-run replaces only its own.
 
-    Rows of a batch are brought together first, so a batch is one file.
+    ``gather`` brings the rows of a batch together first, so that small batches
+    are one file each and an outsized one is split over several tasks. Leave it
+    out where the rows already lie by batch.
     """
     first = F.col(batch) * size
     named = df.withColumn("batch", batch_name(first, first + size)).drop(batch)
+    if gather:
+        named = named.hint("rebalance", "batch")
     (
-        named.repartition("batch")
-        .write.mode("overwrite")
+        named.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch")
         .parquet(path)
