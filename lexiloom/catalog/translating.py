@@ -217,6 +217,15 @@ def job_paq(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.pair_corpus(rows, path, NATIVE)
 
 
+def run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row's last outcome after a limited and an unlimited run."""
+    path = new_folder(spark, "outcomes")
+    rows = fixtures.pair_rows(spark, sf)
+    jobs.pair_corpus(rows, path, LIMITED)
+    jobs.pair_corpus(rows, path, NATIVE)
+    return jobs.last_outcomes(spark.read.parquet(path)).select("index", "status", "reason")
+
+
 def job_qqp(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "triplets")
     rows = fixtures.triplet_rows(spark, sf)
@@ -295,6 +304,7 @@ QUERIES = {
         output_contract,
         quarantine,
         run_audit,
+        run_outcomes,
         normalize_columns,
         union_sources,
         job_cot,
@@ -402,6 +412,9 @@ SELECT "index", q AS "Q_original", a AS "A_original", reason FROM judged WHERE r
     "run_audit": f"""WITH {_SCORE}
 SELECT CASE WHEN reason IS NULL THEN 'ok' ELSE 'quarantined' END AS status, reason, count(*) AS rows
 FROM judged GROUP BY 1, 2""",
+    "run_outcomes": f"""WITH {PAIRS}
+SELECT "index", CASE WHEN a IS NULL THEN 'quarantined' ELSE 'ok' END AS status,
+  CASE WHEN a IS NULL THEN '{MISSING}' END AS reason FROM paq""",
     "normalize_columns": f'WITH {REASONING} SELECT "index", prompt, response FROM o1 WHERE NOT opening',
     "union_sources": f'WITH {REASONING} SELECT "index", prompt, response FROM o1',
     "job_cot": _MARKUP.replace("AS translation", "AS translation, 'ok' AS status"),

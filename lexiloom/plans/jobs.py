@@ -27,14 +27,20 @@ def clean_images(
     image_format: str = "png",
     limit: int | None = None,
     overwrite: bool = True,
+    max_rows: int | None = None,
+    index: str = "index",
     **detector: object,
 ) -> DataFrame:
     """Filter by detector, save, export manifest and assets, publish.
 
     The filtered table is saved once and everything after reads it, so a costly
-    detector runs once. Returns (version, rows) of the published table.
+    detector runs once. ``max_rows`` counts scanned rows by the ordinal column
+    ``index``, ``limit`` counts manifest lines. Returns (version, rows) of the
+    published table.
     """
     spark = rows.sparkSession
+    if max_rows is not None:
+        rows = indexing.slice_by_index(rows, 0, max_rows, index)
     writers.write_table(detection.without_detections(rows, **detector), f"{out}/filtered", overwrite)
     kept = spark.read.schema(rows.schema).parquet(f"{out}/filtered")
     writers.write_csv(export.manifest(kept, image_format, limit), f"{out}/manifest", overwrite)

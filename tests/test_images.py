@@ -88,6 +88,12 @@ def test_job(spark, rows, folder):
     assert csv.filter("id = 'f'").first().problem == 'say "hi", you'
 
 
+def test_job_counts_scanned_rows_by_ordinal(spark, rows, folder):
+    numbered = rows.withColumn("index", F.ascii("id") - F.ascii(F.lit("a")))
+    published = jobs.clean_images(numbered, f"{folder}/out", outside=Detector, max_rows=3).first()
+    assert tuple(published) == (1, 2)
+
+
 def test_empty_result_is_still_a_table(spark, rows, folder):
     writers.write_table(rows.filter("false"), f"{folder}/empty")
     assert spark.read.parquet(f"{folder}/empty").columns == rows.columns

@@ -156,7 +156,30 @@ def test_stream_with_an_outside_translator(spark, folder):
     assert {r.translation for r in spark.read.parquet(f"{folder}/out").collect()} == {"el"}
 
 
-def test_shared_folder_is_the_named_one(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert session.shared_folder(spark) == (named or session.shared_folder(spark)).rstrip("/")
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.made = master, None
+
+    def setCheckpointDir(self, path):
+        self.made = path
+
+    def getCheckpointDir(self):
+        return self.made
+
+
+class FakeSession:
+    def __init__(self, named, master):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = FakeContext(master)
+
+
+def test_shared_folder():
+    assert session.shared_folder(FakeSession("hdfs://x/cp/", "yarn")) == "hdfs://x/cp"
+    with pytest.raises(RuntimeError):
+        session.shared_folder(FakeSession(None, "yarn"))
+    alone = FakeSession(None, "local[2]")
+    assert session.shared_folder(alone) == session.shared_folder(alone) == alone.sparkContext.made
+
+
+def test_folders_are_new_each_time(spark):
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
