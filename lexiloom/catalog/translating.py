@@ -243,7 +243,7 @@ def _translate_turns(stream: DataFrame) -> DataFrame:
 def stream_translate(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "stream")
     run_to_end(
-        follow(spark, sf, TURN_SCHEMA, "conversations.parquet", files_per_trigger=1),
+        follow(spark, f"{sf}/conversations*", TURN_SCHEMA, files_per_trigger=1),
         _translate_turns,
         f"{path}/out",
         f"{path}/checkpoint",
@@ -256,7 +256,7 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "stream")
     for _ in range(2):
         run_to_end(
-            follow(spark, sf, TURN_SCHEMA, "conversations.parquet"),
+            follow(spark, f"{sf}/conversations*", TURN_SCHEMA),
             _translate_turns,
             f"{path}/out",
             f"{path}/checkpoint",

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import has_han
+from lexiloom.operators.skew import join_spread
+from lexiloom.session import stage
 
 # A native detector is an expression on one payload; an outside one is a
 # factory (called once per partition) of a function on one payload.
@@ -61,6 +63,11 @@ def _require_images(df: DataFrame, images: str) -> DataFrame:
     return df.filter(F.col(images).isNotNull())
 
 
+def without_list(df: DataFrame, images: str = "images") -> DataFrame:
+    """The rows no filter here looks at: those without a payload list."""
+    return df.filter(F.col(images).isNull())
+
+
 def flag_detections(
     df: DataFrame,
     images: str = "images",
@@ -95,6 +102,30 @@ def without_detections_anti(
     return rows.join(hits, row_id, "left_anti")
 
 
+def without_detections_by_path(
+    df: DataFrame,
+    files: DataFrame,
+    row_id: str,
+    images: str = "images",
+    native: NativeDetector = han_payload,
+    outside: DetectorFactory | None = None,
+) -> DataFrame:
+    """The filter for rows that name files: ``images`` is a list of paths.
+
+    ``files`` is (path, payload), as ``readers.scan_binary`` gives it. Each file
+    is looked at once, however many rows name it, and no payload is shuffled:
+    only paths of hits and row ids are. Paths without a file count as unreadable.
+    """
+    rows = _require_images(df, images)
+    payload = F.array("payload")
+    hit = outside_detector(outside)(payload) if outside else any_detected(payload, native)
+    hit_paths = files.withColumn("_hit", hit).filter("_hit").select("path").distinct()
+    named = rows.select(row_id, F.explode(images).alias("path"))
+    uses = stage(named.groupBy("path").agg(F.count(F.lit(1)).alias("uses")), "path-uses")
+    hits = join_spread(named, hit_paths, "path", [row_id], uses, "inner").select(row_id).distinct()
+    return rows.join(hits, row_id, "left_anti")
+
+
 def detection_stats(df: DataFrame, images: str = "images", **detector: object) -> DataFrame:
     """Scanned, kept and dropped row counts, as one row."""
     flagged = flag_detections(df, images, **detector)

@@ -19,7 +19,8 @@ def join_spread(
 ) -> DataFrame:
     """Join on ``key`` (unique in ``right``) with the hottest keys salted.
 
-    ``uses`` holds (``key``, ``uses``): how often each key occurs on the left.
+    ``uses`` holds (``key``, ``uses``): how often each key occurs on the left,
+    one row per key, from a written table (both sides must see the same top).
     Its top ``HOT_KEYS`` rows, as 8-byte hashes, are the only thing broadcast,
     so the broadcast has a fixed size; a key outside them holds less than one
     in ``HOT_KEYS`` of the rows. Left rows of a hot key are spread over

@@ -33,7 +33,7 @@ def clean_images(
 ) -> DataFrame:
     """Filter by detector, save, export manifest and assets, publish.
 
-    The filtered table is saved once and everything after reads it, so a costly
+    Rows without a payload list go to a quarantine table. The filtered table is saved once and everything after reads it, so a costly
     detector runs once. ``max_rows`` counts scanned rows by the ordinal column
     ``index``, ``limit`` counts manifest lines. Returns (version, rows) of the
     published table.
@@ -42,6 +42,8 @@ def clean_images(
     if max_rows is not None:
         rows = indexing.slice_by_index(rows, 0, max_rows, index)
     writers.write_table(detection.without_detections(rows, **detector), f"{out}/filtered", overwrite)
+    images = detector.get("images", "images")
+    writers.write_table(detection.without_list(rows, images), f"{out}/quarantine", overwrite)
     kept = spark.read.schema(rows.schema).parquet(f"{out}/filtered")
     writers.write_csv(export.manifest(kept, image_format, limit), f"{out}/manifest", overwrite)
     writers.write_table(export.asset_table(kept, image_format), f"{out}/images", overwrite)

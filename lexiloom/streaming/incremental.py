@@ -15,7 +15,11 @@ def follow(
     pattern: str = "*.parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A stream of the Parquet files that arrive under ``path``."""
+    """A stream of the Parquet files that arrive under ``path``.
+
+    ``path`` is a folder or a name pattern; a table that is one single file has
+    to be given by a pattern.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -40,6 +40,22 @@ def test_all_forms_keep_the_same_rows(rows):
     assert ids(detection.without_detections_anti(rows, "id")) == ["b", "c", "f"]
 
 
+def test_rows_that_name_files(spark, tmp_path):
+    (tmp_path / "han.txt").write_bytes(HAN)
+    (tmp_path / "plain.txt").write_bytes(PLAIN)
+    (tmp_path / "broken.txt").write_bytes(b"\xff")
+    at = {n: f"file:{tmp_path}/{n}.txt" for n in ("han", "plain", "broken", "absent")}
+    named = spark.createDataFrame(
+        [("a", [at["plain"], at["han"]]), ("b", [at["plain"]]), ("c", []), ("d", None), ("e", [at["absent"], at["broken"]])]
+        + [(f"h{i}", [at["han"]]) for i in range(200)],
+        "id string, images array<string>",
+    )
+    files = readers.scan_binary(spark, str(tmp_path), "*.txt")
+    for detector in ({}, {"outside": Detector}):
+        kept = detection.without_detections_by_path(named, files, "id", **detector)
+        assert ids(kept) == ["b", "c", "e"]
+
+
 def test_stats(rows):
     assert tuple(detection.detection_stats(rows).first()) == (5, 3, 2)
 
@@ -85,6 +101,7 @@ def test_job(spark, rows, folder):
     assert tuple(published) == (1, 3)
     csv = spark.read.options(**writers.CSV_READ_OPTIONS).csv(f"{folder}/out/manifest")
     assert ids(csv) == ["b", "f"]
+    assert ids(spark.read.parquet(f"{folder}/out/quarantine")) == ["d"]
     assert csv.filter("id = 'f'").first().problem == 'say "hi", you'
 
 
