@@ -1,4 +1,4 @@
-"""A join that spreads hot keys."""
+"""Joins that hold up when a few keys have most of the rows."""
 
 from __future__ import annotations
 
@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 256
 SALTS = 64
+# A table within both bounds may be broadcast.
+SMALL_ROWS = 200_000
+SMALL_BYTES = 32 * 1024 * 1024
+
+
+def is_small(written: DataFrame, texts: list[str]) -> bool:
+    """Whether a written table may be broadcast, by its rows and its text bytes."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0).cast("bigint"))
+    rows, total = written.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= SMALL_ROWS and total <= SMALL_BYTES
 
 
 def join_spread(

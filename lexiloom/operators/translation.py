@@ -19,7 +19,7 @@ from lexiloom.functions.text import (
     split_sentences,
 )
 from lexiloom.operators.engines import Engine
-from lexiloom.operators.skew import join_spread
+from lexiloom.operators.skew import is_small, join_spread
 from lexiloom.session import stage
 
 OK = "ok"
@@ -208,17 +208,19 @@ def translate_by_glossary_table(
     """Word-for-word translation with a glossary table of any size.
 
     ``glossary``: (word, target), one row per word. The distinct words of the
-    column meet the glossary first, and the hits are written once: where their
-    size allows it Spark broadcasts them, else frequent words are salted. Each
-    text is then put together again from its own words.
+    column meet the glossary first, and the hits are written once: they are
+    broadcast when they prove small, else joined with frequent words salted.
+    Each text is then put together again from its own words.
     """
     words = df.select(row_id, F.posexplode(F.split(column, " ")).alias("_at", "word"))
     uses = words.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
     known = glossary.select("word", F.col("target").alias("_target"))
     used = stage(uses.join(known, "word"), "glossary-hits")
-    joined = join_spread(
-        words, used.select("word", "_target"), "word", [row_id, "_at"], used.select("word", "uses")
-    )
+    targets = used.select("word", "_target")
+    if is_small(used, ["word", "_target"]):
+        joined = words.join(F.broadcast(targets), "word", "left")
+    else:
+        joined = join_spread(words, targets, "word", [row_id, "_at"], used.select("word", "uses"))
     text = F.array_join(
         F.transform(
             F.sort_array(

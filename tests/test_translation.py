@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lexiloom.operators import translation
+from lexiloom.operators import skew, translation
 from lexiloom.operators.embedding import embed_hashed, embed_with
 from lexiloom.operators.engines import (
     GaveUp,
@@ -204,7 +204,9 @@ def test_distinct_equals_direct_with_a_hot_text(spark):
     assert distinct.exceptAll(direct).count() == 0
 
 
-def test_glossary_table_equals_glossary_map(spark):
+@pytest.mark.parametrize("small_rows", [200_000, 0])
+def test_glossary_table_equals_glossary_map(spark, monkeypatch, small_rows):
+    monkeypatch.setattr(skew, "SMALL_ROWS", small_rows)
     df = spark.createDataFrame(
         [(0, "the cat and the dog"), (1, ""), (2, "the"), (3, " the  end "), (4, "nothing")],
         "id bigint, text string",
@@ -215,6 +217,18 @@ def test_glossary_table_equals_glossary_map(spark):
     assert sorted(map(tuple, by_table.collect())) == sorted(map(tuple, by_map.collect()))
 
 
+def test_only_tables_within_both_bounds_are_small(spark, monkeypatch):
+    df = spark.createDataFrame([("é",), ("bb",), (None,)], "t string")
+    assert skew.is_small(df, ["t"])
+    monkeypatch.setattr(skew, "SMALL_BYTES", 4)
+    assert skew.is_small(df, ["t"])
+    monkeypatch.setattr(skew, "SMALL_BYTES", 3)
+    assert not skew.is_small(df, ["t"])
+    monkeypatch.setattr(skew, "SMALL_ROWS", 2)
+    assert not skew.is_small(df.filter("false").union(df), [])
+    assert skew.is_small(df.filter("false"), ["t"])
+
+
 def test_glossary_size_is_checked():
     with pytest.raises(ValueError):
         Glossary({})
