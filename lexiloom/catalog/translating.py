@@ -107,9 +107,9 @@ def resume_point(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contiguous_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    """Turns up to the first one that a length limit would have held back."""
-    short = fixtures.turns(spark, sf).filter(F.size(F.split("text", " ")) <= MAX_WORDS)
-    return indexing.contiguous_prefix(short).select("index", "conv_id", "turn")
+    """Turns up to the first one missing when system turns were not worked on."""
+    done = fixtures.turns(spark, sf).filter("role <> 'system'")
+    return indexing.contiguous_prefix(done).select("index", "conv_id", "turn")
 
 
 def ordered_output(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,11 +372,9 @@ SELECT "index", q AS "Q_original", a AS "A_original" FROM judged WHERE reason IS
     "resume_point": f"""WITH {_SCORE}
 SELECT max("index") AS last_index, coalesce(max("index") + 1, 0) AS next_index
 FROM judged WHERE reason IS NULL""",
-    "contiguous_prefix": f"""WITH {TURNS},
-short AS (SELECT * FROM conv WHERE NOT ({too_long("text")})),
-gap AS (SELECT min("index") AS first FROM conv WHERE {too_long("text")})
-SELECT "index", conv_id, turn FROM short
-WHERE "index" < coalesce((SELECT first FROM gap), (SELECT max("index") + 1 FROM conv))""",
+    "contiguous_prefix": f"""WITH {TURNS}
+SELECT "index", conv_id, turn FROM conv WHERE "index" < coalesce(
+  (SELECT min("index") FROM conv WHERE role = 'system'), (SELECT max("index") + 1 FROM conv))""",
     "ordered_output": f'WITH {PAIRS} SELECT "index", {_PAIR} FROM paq WHERE a IS NOT NULL ORDER BY "index"',
     "lexicon_translate": _DOCS,
     "glossary_table": """WITH known AS (

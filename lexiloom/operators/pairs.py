@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions.names import batch_id
@@ -186,8 +186,6 @@ def dedup_pairs(pairs: DataFrame, order: list[str]) -> DataFrame:
 
 def dedup_pairs_ranked(pairs: DataFrame, order: list[str]) -> DataFrame:
     """As ``dedup_pairs`` through a rank; Spark trims groups before the shuffle."""
-    from pyspark.sql import Window
-
     keyed = drop_self_pairs(pairs).select("*", *_pair_key())
     rank = F.row_number().over(Window.partitionBy("_low", "_high").orderBy(*order))
     return keyed.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_low", "_high")

@@ -14,15 +14,19 @@ def follow(
     schema: str,
     pattern: str = "*.parquet",
     files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """A stream of the Parquet files that arrive under ``path``.
 
     ``path`` is a folder or a name pattern; a table that is one single file has
-    to be given by a pattern.
+    to be given by a pattern. How much one micro-batch takes, and so how often
+    the output is flushed, is set by files or by bytes.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(path)
 
 

@@ -129,6 +129,15 @@ def test_stream_resumes_and_appends_new_files_only(spark, folder):
     assert run() == 15
 
 
+def test_micro_batches_by_size(spark, folder):
+    spark.range(0, 400, 1, 4).write.parquet(f"{folder}/in")
+    stream = follow(spark, f"{folder}/in", "id bigint", bytes_per_trigger=1000)
+    query = run_incremental(stream, lambda d: d, f"{folder}/out", f"{folder}/cp")
+    query.awaitTermination()
+    assert spark.read.parquet(f"{folder}/out").count() == 400
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) > 1
+
+
 def test_stream_by_time_flushes_while_it_runs(spark, folder):
     spark.range(4).write.parquet(f"{folder}/in")
     query = run_incremental(
