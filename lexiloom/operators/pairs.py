@@ -116,20 +116,27 @@ def similar_pairs(
     partners: int = PARTNERS,
     repeats: int = REPEATS,
     seed: int = SEED,
+    together: int = 1,
 ) -> DataFrame:
     """Sampled, scored and deduplicated pairs with a single shuffle.
 
     Partners never leave their block, so each block (at most ``block_size``
     rows) becomes one row and its pairs are formed inside it. A mirrored pair
     is recognised there too: when both rows drew each other, the lower id's
-    draw is the first seen and the other one is left out.
+    draw is the first seen and the other one is left out. ``together``
+    neighbouring blocks come out of the same task.
     """
     drawn = F.array_distinct(F.flatten(_partner_lists(partners)))
     members = _with_draws(sentences, block_size, partners, repeats, seed).select(
         batch_id(F.col("idx"), block_size).alias("batch_id"),
         F.struct("idx", "text", "embedding", drawn.alias("drawn")).alias("member"),
     )
-    blocks = members.groupBy("batch_id").agg(F.sort_array(F.collect_list("member")).alias("block"))
+    keys = ["batch_id"]
+    if together > 1:
+        # The aggregate below finds its keys together already and adds no shuffle.
+        members = members.withColumn("_group", batch_id(F.col("batch_id"), together)).repartition("_group")
+        keys = ["_group", "batch_id"]
+    blocks = members.groupBy(*keys).agg(F.sort_array(F.collect_list("member")).alias("block"))
     block, start = F.col("block"), F.col("batch_id") * block_size
 
     def wanted(a: Column) -> Column:

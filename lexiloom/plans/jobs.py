@@ -33,10 +33,10 @@ def clean_images(
 ) -> DataFrame:
     """Filter by detector, save, export manifest and assets, publish.
 
-    Rows without a payload list go to a quarantine table. The filtered table is saved once and everything after reads it, so a costly
-    detector runs once. ``max_rows`` counts scanned rows by the ordinal column
-    ``index``, ``limit`` counts manifest lines. Returns (version, rows) of the
-    published table.
+    Rows without a payload list go to a quarantine table. The filtered table is
+    saved once and everything after reads it, so a costly detector runs once.
+    ``max_rows`` counts scanned rows by the ordinal column ``index``, ``limit``
+    counts manifest lines. Returns (version, rows) of the published table.
     """
     spark = rows.sparkSession
     if max_rows is not None:
@@ -51,15 +51,15 @@ def clean_images(
 
 
 def sentence_similarity(
-    sentences: DataFrame, out: str, blocks_per_folder: int = 1000, **options: int
+    sentences: DataFrame, out: str, blocks_per_folder: int = 100, **options: int
 ) -> DataFrame:
     """Sampled, scored, deduplicated pairs, written by batch; returns them.
 
-    A folder takes the pairs of many blocks, so their number stays in hand on
-    large inputs. The pairs lie by block already and are not shuffled again.
+    A folder takes the pairs of many blocks, and its blocks are worked on by one
+    task, so it is one file and the pairs are not shuffled again to be written.
     """
     size = options.get("block_size", pairs.BLOCK_SIZE) * blocks_per_folder
-    found = pairs.similar_pairs(sentences, **options).withColumn(
+    found = pairs.similar_pairs(sentences, together=blocks_per_folder, **options).withColumn(
         "batch_id", batch_id(F.col("idx1"), size)
     )
     writers.write_batches(found, out, "batch_id", size, gather=False)

@@ -79,6 +79,22 @@ def test_block_form_equals_join_form(sentences, repeats):
     assert block.filter(F.col("batch_id") != F.expr("idx1 div 20")).count() == 0
 
 
+def test_blocks_worked_on_together_give_the_same_pairs(sentences):
+    apart, together = (
+        pairs.similar_pairs(sentences, block_size=8, partners=3, together=n) for n in (1, 3)
+    )
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, together.collect()))
+
+
+def test_a_folder_is_one_file(spark, sentences, folder):
+    jobs.sentence_similarity(sentences, f"{folder}/s", blocks_per_folder=2, block_size=8, partners=3)
+    files = spark.read.parquet(f"{folder}/s").select("batch", F.col("_metadata.file_path").alias("f"))
+    counts = files.distinct().groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in counts} == {
+        f"batch_{at}_{at + 16}": 1 for at in (0, 16, 32, 48)
+    }
+
+
 def test_cosine_forms_agree_and_zero_vectors_give_null(spark):
     df = spark.createDataFrame(
         [([1.0, 0.0], [0.0, 1.0]), ([1.0, 2.0], [-1.0, -2.0]), ([3.0, 4.0], [3.0, 4.0]), ([0.0, 0.0], [1.0, 1.0])],

@@ -65,13 +65,14 @@ def test_split_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,es)]" in plan
 
 
-def test_similar_pairs_shuffle_once(spark):
+@pytest.mark.parametrize("together, key", [(1, "batch_id"), (100, "_group")])
+def test_similar_pairs_shuffle_once(spark, together, key):
     sentences = spark.read.parquet(f"{SF}/embeddings.parquet").select(
         F.col("vec_id").alias("idx"), F.lit("t").alias("text"), "embedding"
     )
-    plan = plan_of(pairs.similar_pairs(sentences))
+    plan = plan_of(pairs.similar_pairs(sentences, together=together))
     body = "\n".join(line for line in plan.splitlines() if "SinglePartition" not in line)
-    assert body.count("Exchange hashpartitioning(batch_id") == 1
+    assert body.count(f"Exchange hashpartitioning({key}") == 1
     assert body.count("Exchange") == 1
 
 
