@@ -97,8 +97,28 @@ SELECT doc_id, size, source_size, target,
   CAST(epochs * size + greatest(0, least(size, rest - start)) AS BIGINT) AS taken
 FROM placed"""
 
+NEAR_DUPLICATES = f"""WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, {plain_words(lower("text"))} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT rid, array_to_string(w[pos:pos + 4], ' ') AS shingle
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 2))) AS pos FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+shared AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON s.a = x.rid JOIN sizes y ON s.b = y.rid
+  WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)),
+reach AS (
+  SELECT rid AS a, rid AS b FROM docs
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+named AS (SELECT r.a AS rid, min(d.doc_id) AS component_id FROM reach r JOIN docs d ON r.b = d.rid GROUP BY r.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM docs d JOIN named c ON d.rid = c.rid LEFT JOIN sizes s ON d.rid = s.rid"""
+
 SQL = {
     "op2_substring_dedup": SUBSTRINGS,
+    "op4_near_dedup": NEAR_DUPLICATES,
     "op5_benchmark_decontamination": DECONTAMINATION,
     "op9_source_mixing": MIXING,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import decontaminate, mixing, substrings
+from lexiloom.llm import decontaminate, mixing, near_dedup, substrings
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -27,6 +32,7 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op9_source_mixing": op9_source_mixing,
 }
