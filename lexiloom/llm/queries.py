@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import decontaminate, mixing, near_dedup, substrings
+from lexiloom.llm import decontaminate, mixing, near_dedup, outliers, secrets, substrings
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return outliers.robust_outliers(table(spark, sf, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     done = substrings.drop_repeats(table(spark, sf, "documents"))
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -31,7 +39,9 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_robust_outliers": op1_robust_outliers,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op4_near_dedup": op4_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op9_source_mixing": op9_source_mixing,
