@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import decontaminate, mixing, near_dedup, outliers, secrets, substrings
+from lexiloom.llm import decontaminate, mixing, near_dedup, outliers, quality, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -33,6 +33,14 @@ def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -44,5 +52,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_near_dedup": op4_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
     "op9_source_mixing": op9_source_mixing,
 }
