@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiloom.llm import decontaminate, mixing, near_dedup, outliers, quality, secrets, substrings, toxicity
+from lexiloom.llm import decontaminate, html, language, mixing, near_dedup, outliers, quality, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,11 +41,19 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language.language_report(table(spark, sf, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract_text(table(spark, sf, "pages"))
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_substring_dedup": op2_substring_dedup,
@@ -54,5 +62,7 @@ QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
+    "op10_html_extraction": op10_html_extraction,
 }
