@@ -169,6 +169,10 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def _is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def secret_report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     found = find_secrets(docs.select("doc_id", "text"))
@@ -177,8 +181,7 @@ def secret_report(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc_id",
         *(
-            F.size(F.filter(spans, lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-            for kind in KINDS[:3]
+            F.size(F.filter(spans, _is(kind))).cast("bigint").alias(f"n_{kind}") for kind in KINDS[:3]
         ),
         F.sha2(written(base), 256).alias("base_sha256"),
         written(spans).alias("spans"),
