@@ -91,9 +91,8 @@ def could_be_similar(size_a, size_b, flipped, percent: int = PERCENT) -> np.ndar
     common = np.maximum(drawn * share - DEVIATIONS * spread, 0)
     differ = drawn + np.minimum(least, SAMPLES) - 2 * common
     two, four = (1 - 2 / BITS) ** differ, (1 - 4 / BITS) ** differ
-    variance = BITS / 4 * (1 - four) + BITS * BITS / 4 * np.maximum(four - two * two, 0)
-    variance = np.minimum(variance, BITS / 4)
-    limit = BITS / 2 * (1 - two) + DEVIATIONS * np.sqrt(variance)
+    variance = BITS / 4 * (1 - two * two) + BITS * (BITS - 1) / 4 * (four - two * two)
+    limit = BITS / 2 * (1 - two) + DEVIATIONS * np.sqrt(np.maximum(variance, 0.25))
     return (least >= shared - 1e-6) & (flipped <= limit)
 
 
