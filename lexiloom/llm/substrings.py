@@ -176,13 +176,15 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
         "seeds",
     )
     each = seeds.select("k1", "k2", F.inline(F.arrays_zip("anchors", "runs", "starts", "sizes")))
-    # One row per anchor, folded before the shuffle.
+    # One row per anchor, folded before the shuffle. Joined as a table of its own,
+    # so that Spark may split the seeds of a hot anchor over several tasks.
     shared = (
         each.groupBy(F.col("anchors").alias("anchor"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("runs").alias("low"), F.max("runs").alias("high"))
         .filter("n > 1")
         .select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
     )
+    shared = stage(shared, "shared-anchors")
     hits = stage(
         each.withColumnRenamed("anchors", "anchor")
         .join(shared, "anchor")
