@@ -171,7 +171,9 @@ def learn_centroids(known: DataFrame, weights: np.ndarray, sample: int = SAMPLE)
     About ``sample`` texts of each language are taken, by a hash of id and text, so
     a language's vectors fit into one task and the model onto the driver.
     """
-    totals = known.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+    # A row per language, read back from a table: Spark knows its size then, and
+    # broadcasts it below its threshold.
+    totals = stage(known.groupBy("lang").agg(F.count(F.lit(1)).alias("total")), "languages")
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
     drawn = known.withColumn("draw", draw).join(totals, "lang").filter(F.col("draw") < sample / F.col("total"))
     rows = drawn.select("lang", "text").mapInArrow(_vector_rows(weights), "lang string, vector binary")
