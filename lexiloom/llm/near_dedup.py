@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,24 +139,38 @@ def _sift(percent: int):
     return sift
 
 
+class _Side:
+    def __init__(self, rows: pa.Table):
+        self.names, self.roots = rows.column("class").to_pylist(), rows.column("root_no").to_numpy()
+        self.sizes, self.one = rows.column("size").to_numpy(), rows.column("one").to_numpy()
+        self.sketches = _bits_of(rows.column("sketch"))
+        self.bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+
+
 def _tile(percent: int):
-    """Pairs of different components in one tile whose sketches allow the similarity."""
+    """Pairs of different components in one tile whose sketches allow the similarity.
+
+    A pair comes from the first of the buckets it shares, and from one of the two
+    tiles there that may hold it.
+    """
 
     def tile(table: pa.Table) -> pa.Table:
-        rows = table.combine_chunks()
-        one = rows.filter(rows.column("side"))
-        all_ = rows.filter(pa.compute.invert(rows.column("side")))
-        names = [np.array(t.column("class").to_pylist(), object) for t in (one, all_)]
-        roots = [np.array(t.column("root").to_pylist(), object) for t in (one, all_)]
-        sizes = [t.column("size").to_numpy() for t in (one, all_)]
-        bits = [_bits_of(t.column("sketch")) for t in (one, all_)]
+        numbers = table.column("root").combine_chunks().dictionary_encode().indices
+        table = table.append_column("root_no", numbers)
+        bucket, side = table.column("bucket")[0].as_py(), table.column("side")
+        left, right = _Side(table.filter(side)), _Side(table.filter(pc.invert(side)))
         a, b = [], []
-        for i in range(len(names[0])):
-            flipped = np.bitwise_count(bits[0][i] ^ bits[1]).sum(axis=1)
-            fits = could_be_similar(sizes[0][i], sizes[1], flipped, percent) & (roots[1] != roots[0][i])
-            for other in names[1][fits]:
-                a.append(min(names[0][i], other))
-                b.append(max(names[0][i], other))
+        for i, name in enumerate(left.names):
+            flipped = np.bitwise_count(left.sketches[i] ^ right.sketches).sum(axis=1)
+            fits = could_be_similar(left.sizes[i], right.sizes, flipped, percent) & (right.roots != left.roots[i])
+            at = np.flatnonzero(fits)
+            shared = right.bands[at] == left.bands[i]
+            at = at[right.bands[at, np.argmax(shared, axis=1)] == bucket]
+            for j in at:
+                other = right.names[j]
+                if not right.one[j] or name < other:
+                    a.append(min(name, other))
+                    b.append(max(name, other))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return tile
@@ -243,12 +258,12 @@ def _rest_pairs(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percen
     many = members.groupBy("bucket").agg(
         F.ceil(F.count_if("one") / TILE).cast("int").alias("tall"), F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("wide")
     )
-    members = members.join(many, "bucket").join(classes.select("class", "size", "sketch"), "class")
+    members = members.join(many, "bucket").join(classes.select("class", "size", "sketch", "bands"), "class")
 
     def cells(side: bool, own: str, other: str, i: str, j: str) -> DataFrame:
         mine = members.filter("one") if side else members
         return mine.select(
-            "bucket", "class", "root", "size", "sketch",
+            "bucket", "class", "root", "size", "sketch", "bands", "one",
             F.lit(side).alias("side"),
             F.pmod(F.xxhash64("class"), F.col(own)).cast("int").alias(i),
             F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(j),
