@@ -41,18 +41,32 @@ def dict_forms(spark: SparkSession, sf: str) -> DataFrame:
     return dictionary.forms(chosen(spark, sf))
 
 
-def scan_dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    """All entries out as JSON lines and back in through the reader."""
+def _lines(spark: SparkSession, sf: str) -> str:
+    """All entries as JSON lines, and after each a broken copy, cut in its middle."""
     path = new_folder(spark, "entries")
     entries = fixtures.dictionary_entries(spark, sf).select("word", "lang_code", "pos", "senses")
-    entries.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
-    good, _ = readers.split_corrupt(readers.scan_dictionary(spark, path, DICTIONARY))
-    return good.select("word", "lang_code", "pos", F.size("senses").cast("bigint").alias("senses"))
+    line = F.to_json(F.struct("*"))
+    both = entries.select(F.explode(F.array(line, F.concat(F.lit("{broken "), "lang_code"))).alias("value"))
+    both.write.text(path)
+    return path
+
+
+def scan_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries in through the reader, with every sense; broken lines by their text."""
+    good, corrupt = readers.split_corrupt(readers.scan_dictionary(spark, _lines(spark, sf), DICTIONARY))
+    glosses = F.transform("senses", lambda s: F.coalesce(F.get(s["glosses"], F.lit(0)), F.lit("")))
+    tags = F.transform("senses", lambda s: F.array_join(F.coalesce(s["tags"], F.array()), ","))
+    forms = F.transform("senses", lambda s: F.coalesce(F.get(s["form_of"], F.lit(0))["word"], F.lit("")))
+    joined = [F.array_join(c, "\n").alias(n) for c, n in ((glosses, "glosses"), (tags, "tags"), (forms, "forms"))]
+    none = [F.lit(None).cast("string").alias(n) for n in ("word", "lang_code", "pos", "glosses", "tags", "forms")]
+    return good.select("word", "lang_code", "pos", *joined, F.lit(None).cast("string").alias("corrupt")).union(
+        corrupt.select(*none, "corrupt")
+    )
 
 
 def _job(spark: SparkSession, sf: str) -> str:
     path = new_folder(spark, "dictionary")
-    jobs.dictionary_tables(fixtures.dictionary_entries(spark, sf), path)
+    jobs.dictionary_from_lines(spark, _lines(spark, sf), path)
     return path
 
 
@@ -89,8 +103,15 @@ SELECT doc_id, word, CAST(sense AS BIGINT) AS sense,
 FROM senses WHERE letter NOT IN ('a', 'o', 'e')""",
     "dict_definitions": f"WITH {WORDS} {_DEFINITIONS}",
     "dict_forms": f"WITH {WORDS} {_FORMS}",
-    "scan_dictionary": f"""WITH {WORDS}
-SELECT word, lang_code, pos, CAST(len(string_split(text, chr(10))) AS BIGINT) AS senses FROM entries""",
+    "scan_dictionary": f"""WITH {WORDS},
+listed AS (SELECT word, lang_code, pos, string_split(text, chr(10)) AS lines FROM entries)
+SELECT word, lang_code, pos, array_to_string(lines, chr(10)) AS glosses,
+  array_to_string(list_transform(lines, lambda x: CASE lower(x[1]) WHEN 'a' THEN 'archaic'
+    WHEN 'o' THEN 'obsolete,rare' WHEN 'e' THEN 'form-of' WHEN 't' THEN 'rare' ELSE '' END), chr(10)) AS tags,
+  array_to_string(list_transform(lines, lambda x: CASE WHEN lower(x[1]) IN ('a', 'e')
+    THEN lower(split_part(x, ' ', 1)) ELSE '' END), chr(10)) AS forms, NULL AS corrupt
+FROM listed
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{{broken ' || lang FROM documents""",
     "job_wiktionary": f"""WITH {WORDS}, d AS ({_DEFINITIONS}), f AS ({_FORMS})
 SELECT 'definition' AS kind, word, definition AS value FROM d
 UNION ALL SELECT 'form', word, "original form" FROM f""",

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiloom.functions.text import split_sentences
 from lexiloom.operators.indexing import read_indexed
 
 GLOSSARY = {"the": "el", "and": "y", "of": "de", "to": "a", "that": "que", "in": "en"}
@@ -136,7 +135,7 @@ def reasoning_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("<Thought>"),
         F.col("answer"),
         F.lit("</Thought>\n<Output>"),
-        F.get(split_sentences(F.col("answer")), F.lit(0)),
+        F.col("answer"),
         F.lit("</Output>"),
     )
     return (
@@ -173,15 +172,19 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def document_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as numbered sentences, for what needs no vector."""
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("idx"), "text")
+
+
 def image_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Paragraphs as payloads: empty ones stand for unreadable images, short ones are none."""
+    """Whole paragraphs as payloads; empty ones stand for unreadable images."""
     paragraphs = F.regexp_extract_all(
-        planted(F.col("html")), F.lit("<p>([^<]*)"), F.lit(1)
+        planted(F.col("html")), F.lit("(?s)<p>(.*?)</p>"), F.lit(1)
     )
-    payloads = F.filter(paragraphs, lambda p: (p == "") | (F.length(p) >= 200))
     return table(spark, sf, "pages").select(
         F.col("page_id").cast("string").alias("id"),
-        F.transform(payloads, lambda p: F.when(p != "", p.cast("binary"))).alias("images"),
+        F.transform(paragraphs, lambda p: F.when(p != "", p.cast("binary"))).alias("images"),
         F.col("html").alias("problem"),
         F.col("url").alias("answer"),
         F.when(F.contains("url", F.lit("?")), "1").otherwise("0").alias("pass"),

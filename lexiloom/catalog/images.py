@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.catalog import fixtures
-from lexiloom.catalog.sql import IMAGES
+from lexiloom.catalog.sql import IMAGES, planted
 from lexiloom.operators import detection, export
 from lexiloom.plans import jobs
 from lexiloom.session import new_folder
@@ -22,7 +22,11 @@ class HanPayload:
     """A detector as an outside model would be: one payload in, yes or no out."""
 
     def __call__(self, payload: bytes) -> bool:
-        return any("一" <= letter <= "鿿" for letter in payload.decode("utf-8"))
+        try:
+            text = payload.decode("utf-8")
+        except UnicodeDecodeError as broken:
+            raise detection.Unreadable from broken
+        return any("一" <= letter <= "鿿" for letter in text)
 
 
 def detect_flag(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +59,7 @@ def export_limit(spark: SparkSession, sf: str) -> DataFrame:
 def asset_table(spark: SparkSession, sf: str) -> DataFrame:
     assets = export.asset_table(fixtures.image_rows(spark, sf))
     size = F.coalesce(F.octet_length("payload"), F.lit(0)).cast("bigint")
-    return assets.select("image_filename", size.alias("bytes"))
+    return assets.select("image_filename", size.alias("bytes"), F.sha2("payload", 256).alias("sha256"))
 
 
 def write_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,9 +69,10 @@ def write_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents, line breaks and all, to CSV and back."""
+    """Documents, line breaks and outer white space and all, to CSV and back."""
     path = new_folder(spark, "csv")
-    writers.write_csv(fixtures.table(spark, sf, "documents").select("doc_id", "text", "lang"), path)
+    spaced = F.concat(F.lit("  "), "text", F.lit(" \t")).alias("text")
+    writers.write_csv(fixtures.table(spark, sf, "documents").select("doc_id", spaced, "lang"), path)
     schema = "doc_id BIGINT, text STRING, lang STRING"
     return spark.read.options(**writers.CSV_READ_OPTIONS).schema(schema).csv(path)
 
@@ -111,9 +116,31 @@ def scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scan_binary(spark: SparkSession, sf: str) -> DataFrame:
-    """The table files themselves, by name and size."""
-    files = readers.scan_binary(spark, sf, "*.parquet")
-    return files.select(F.regexp_extract("path", r"[^/]*\z", 0).alias("file"), "length")
+    """Every page as a file of its own, opened again and told by its digest."""
+    path = _page_files(spark, sf)
+    page = F.regexp_extract("path", r"page_id=(\d+)/[^/]*\z", 1).cast("bigint").alias("page_id")
+    return readers.scan_binary(spark, path, "part-*").select(page, "length", F.sha2("payload", 256).alias("sha256"))
+
+
+def _page_files(spark: SparkSession, sf: str) -> str:
+    path = new_folder(spark, "page-files")
+    pages = fixtures.table(spark, sf, "pages").select("page_id", fixtures.planted(F.col("html")).alias("value"))
+    pages.write.partitionBy("page_id").text(path)
+    return path
+
+
+def filter_by_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that name files, without those whose file has a Han letter.
+
+    Every row names its own page's file and that of the page before it, in a
+    different spelling.
+    """
+    path = _page_files(spark, sf)
+    files = readers.scan_binary(spark, path, "part-*")
+    own = files.select(F.regexp_extract("path", r"page_id=(\d+)/[^/]*\z", 1).cast("bigint").alias("page_id"), "path")
+    before = own.select((F.col("page_id") + 1).alias("page_id"), F.regexp_replace("path", "^file:/+", "/").alias("earlier"))
+    rows = own.join(before, "page_id", "left").select("page_id", F.array_compact(F.array("path", "earlier")).alias("images"))
+    return detection.without_detections_by_path(rows, files, "page_id", outside=HanPayload).select("page_id")
 
 
 def job_k12(spark: SparkSession, sf: str) -> DataFrame:
@@ -139,6 +166,7 @@ QUERIES = {
     "scan_split": scan_split,
     "scan_jsonl": scan_jsonl,
     "scan_binary": scan_binary,
+    "filter_by_path": filter_by_path,
     "job_k12": job_k12,
 }
 
@@ -162,17 +190,22 @@ SQL = {
 SELECT count(*) AS scanned, count(*) FILTER (NOT detected) AS kept,
   count(*) FILTER (detected) AS dropped FROM flagged""",
     "export_manifest": f"WITH {IMAGES} {_manifest('k12')}",
-    "export_limit": f"WITH {IMAGES} {_manifest('k12')} ORDER BY id LIMIT {LIMIT}",
+    "export_limit": f"WITH {IMAGES} {_manifest('k12')} ORDER BY CAST(id AS BIGINT) LIMIT {LIMIT}",
     "asset_table": f"""WITH {IMAGES},
 placed AS (SELECT id, unnest(images) AS payload, generate_subscripts(images, 1) - 1 AS i FROM k12)
-SELECT id || '_' || i || '.png' AS image_filename, CAST(coalesce(strlen(payload), 0) AS BIGINT) AS bytes FROM placed""",
+SELECT id || '_' || i || '.png' AS image_filename, CAST(coalesce(strlen(payload), 0) AS BIGINT) AS bytes,
+  sha256(payload) AS sha256 FROM placed""",
     "write_table": f"WITH {IMAGES} SELECT id, problem, answer, pass FROM flagged WHERE NOT detected",
-    "write_csv": "SELECT doc_id, text, lang FROM documents",
+    "write_csv": "SELECT doc_id, '  ' || text || ' ' || chr(9) AS text, lang FROM documents",
     "write_guard": "SELECT TRUE AS refused, page_id, url FROM pages",
     "publish": f"""WITH {IMAGES}
 SELECT CAST(1 AS BIGINT) AS version, count(*) AS rows FROM flagged
 UNION ALL SELECT CAST(2 AS BIGINT), count(*) FROM flagged WHERE NOT detected""",
     "scan_split": "SELECT * FROM documents WHERE lang = 'es'",
     "scan_jsonl": "SELECT doc_id, lang, text FROM documents",
+    "scan_binary": f"""SELECT page_id, CAST(strlen({planted('html')}) + 1 AS BIGINT) AS length,
+  sha256({planted('html')} || chr(10)) AS sha256 FROM pages""",
+    "filter_by_path": f"""SELECT a.page_id FROM pages a LEFT JOIN pages b ON b.page_id = a.page_id - 1
+WHERE NOT contains({planted('a.html')}, '漢') AND NOT contains({planted("coalesce(b.html, '')")}, '漢')""",
     "job_k12": f"WITH {IMAGES} {_manifest('flagged')} AND NOT detected",
 }

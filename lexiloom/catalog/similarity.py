@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.catalog import fixtures
-from lexiloom.catalog.sql import SCORED, SENTENCES, sampled
+from lexiloom.catalog.sql import ALL_DOCUMENTS, SCORED, SENTENCES, sampled
 from lexiloom.functions import names
 from lexiloom.functions.vectors import cosine
 from lexiloom.operators import pairs
@@ -21,18 +21,18 @@ PARTNERS = 10
 
 def batch_id(spark: SparkSession, sf: str) -> DataFrame:
     idx = F.col("idx")
-    return fixtures.sentences(spark, sf).select("idx", names.batch_id(idx, BLOCK).alias("batch_id"))
+    return fixtures.document_rows(spark, sf).select("idx", names.batch_id(idx, BLOCK).alias("batch_id"))
 
 
 def sample_k_per_row(spark: SparkSession, sf: str) -> DataFrame:
     drawn = pairs.sample_partners(
-        fixtures.sentences(spark, sf), block_size=BLOCK, partners=PARTNERS, repeats=2
+        fixtures.document_rows(spark, sf), block_size=BLOCK, partners=PARTNERS, repeats=2
     )
     return drawn.select("idx1", "rep", F.array_join("partners", ",").alias("partners"))
 
 
 def sample_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return pairs.sample_pairs(fixtures.sentences(spark, sf), block_size=BLOCK, partners=PARTNERS)
+    return pairs.sample_pairs(fixtures.document_rows(spark, sf), block_size=BLOCK, partners=PARTNERS)
 
 
 def score_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,23 +54,31 @@ def cosine_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def overlapping(spark: SparkSession, sf: str) -> DataFrame:
     """Sampled, scored pairs with copies: close pairs mirrored, far ones as self-pairs."""
-    sentences = fixtures.sentences(spark, sf).select("idx", F.lit("").alias("text"), "embedding")
+    sentences = fixtures.sentences(spark, sf)
     drawn = pairs.sample_pairs(sentences, block_size=BLOCK, partners=PARTNERS)
-    scored = pairs.score_pairs(drawn, sentences).select("idx1", "idx2", "rep", "rank", "similarity")
+    scored = pairs.score_pairs(drawn, sentences)
     close, far = F.col("similarity") > 0.2, F.col("similarity") < -0.2
-    copies = F.concat(
-        F.array(F.struct("idx1", "idx2", F.lit(0).alias("copy"))),
-        F.when(
-            close, F.array(F.struct(F.col("idx2").alias("idx1"), F.col("idx1").alias("idx2"), F.lit(1).alias("copy")))
+
+    def copy(first: str, second: str, kind: int):
+        return F.array(
+            F.struct(
+                F.col(f"idx{first}").alias("idx1"),
+                F.col(f"idx{second}").alias("idx2"),
+                F.col(f"sentence{first}").alias("sentence1"),
+                F.col(f"sentence{second}").alias("sentence2"),
+                F.lit(kind).alias("copy"),
+            )
         )
-        .when(far, F.array(F.struct("idx1", F.col("idx1").alias("idx2"), F.lit(2).alias("copy"))))
-        .otherwise(F.array().cast("array<struct<idx1:bigint,idx2:bigint,copy:int>>")),
+
+    copies = F.concat(
+        copy("1", "2", 0),
+        F.when(close, copy("2", "1", 1)).when(far, copy("1", "1", 2)).otherwise(F.slice(copy("1", "2", 0), 1, 0)),
     )
     return scored.select(F.inline(copies), "rep", "rank", "similarity")
 
 
 ORDER = ["idx1", "rep", "rank", "copy", "idx2"]
-OVERLAP_COLUMNS = ["idx1", "idx2", "similarity"]
+OVERLAP_COLUMNS = ["idx1", "idx2", "sentence1", "sentence2", "similarity"]
 
 
 def drop_self_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,6 +102,14 @@ def job_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.sentence_similarity(fixtures.sentences(spark, sf), path)
 
 
+def job_similarity_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Several blocks in several folders, over ids with gaps: every seventh is missing."""
+    path = new_folder(spark, "similarity")
+    gapped = fixtures.sentences(spark, sf).filter("idx % 7 <> 3")
+    found = jobs.sentence_similarity(gapped, path, block_size=BLOCK, blocks_per_folder=2, partners=200)
+    return found.select("idx1", "idx2", "sentence1", "sentence2", "similarity")
+
+
 def _batches(spark: SparkSession, sf: str) -> str:
     """Overlapping pairs written one folder per batch of first rows."""
     path = new_folder(spark, "batches")
@@ -101,8 +117,8 @@ def _batches(spark: SparkSession, sf: str) -> str:
         names.batch_id(F.least("idx1", "idx2"), BLOCK).alias("batch_id"),
         "idx1",
         "idx2",
-        F.concat(F.lit("s"), F.col("idx1").cast("string")).alias("sentence1"),
-        F.concat(F.lit("s"), F.col("idx2").cast("string")).alias("sentence2"),
+        "sentence1",
+        "sentence2",
         "similarity",
     )
     writers.write_batches(rows, path, size=BLOCK)
@@ -129,10 +145,10 @@ def pairs_per_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch_number(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers found in batch names, and in names that hold none."""
-    rows = fixtures.sentences(spark, sf)
+    rows = fixtures.document_rows(spark, sf)
     first = names.batch_id(F.col("idx"), BLOCK) * BLOCK
     named = F.concat(F.lit("pairs_"), names.batch_name(first, first + BLOCK), F.lit(".parquet"))
-    plain = F.concat(F.lit("pairs_"), F.col("idx").cast("string"), F.lit(".parquet"))
+    plain = F.concat(F.lit("/batch_7_8/out/pairs_"), F.col("idx").cast("string"), F.lit(".parquet"))
     return rows.select("idx", F.explode(F.array(named, plain)).alias("name")).select(
         "idx", "name", names.batch_number(F.col("name")).alias("batch_no")
     )
@@ -173,6 +189,7 @@ QUERIES = {
     "dedup_pairs_ranked": dedup_pairs_ranked,
     "pair_dedup_stats": pair_dedup_stats,
     "job_similarity": job_similarity,
+    "job_similarity_blocks": job_similarity_blocks,
     "write_batches": write_batches,
     "read_batches": read_batches,
     "pairs_per_batch": pairs_per_batch,
@@ -187,31 +204,32 @@ QUERIES = {
 _DRAWN = sampled(BLOCK, PARTNERS)
 _OVERLAP = f"""{_DRAWN}, {SCORED},
 overlap AS (
-  SELECT idx1, idx2, 0 AS copy, rep, rank, similarity FROM scored
-  UNION ALL SELECT idx2, idx1, 1, rep, rank, similarity FROM scored WHERE similarity > 0.2
-  UNION ALL SELECT idx1, idx1, 2, rep, rank, similarity FROM scored WHERE similarity < -0.2
+  SELECT idx1, idx2, sentence1, sentence2, 0 AS copy, rep, rank, similarity FROM scored
+  UNION ALL SELECT idx2, idx1, sentence2, sentence1, 1, rep, rank, similarity FROM scored WHERE similarity > 0.2
+  UNION ALL SELECT idx1, idx1, sentence1, sentence1, 2, rep, rank, similarity FROM scored WHERE similarity < -0.2
 ),
 ranked AS (
   SELECT *, row_number() OVER (
     PARTITION BY least(idx1, idx2), greatest(idx1, idx2) ORDER BY idx1, rep, rank, copy, idx2) AS n
   FROM overlap WHERE idx1 <> idx2
 )"""
-_ROWS = f"""SELECT idx1, idx2, 's' || idx1 AS sentence1, 's' || idx2 AS sentence2, similarity,
+_ROWS = f"""SELECT idx1, idx2, sentence1, sentence2, similarity,
   CAST(least(idx1, idx2) // {BLOCK} * {BLOCK} AS BIGINT) AS batch_no FROM overlap"""
-_KEPT = "SELECT idx1, idx2, similarity FROM ranked WHERE n = 1"
+_KEPT = "SELECT idx1, idx2, sentence1, sentence2, similarity FROM ranked WHERE n = 1"
 
 SQL = {
-    "batch_id": f"WITH {SENTENCES} SELECT idx, CAST(idx // {BLOCK} AS BIGINT) AS batch_id FROM sents",
-    "sample_k_per_row": f"""WITH {sampled(BLOCK, PARTNERS, repeats=2)}
+    "batch_id": f"WITH {ALL_DOCUMENTS} SELECT idx, CAST(idx // {BLOCK} AS BIGINT) AS batch_id FROM sents",
+    "sample_k_per_row": f"""WITH {sampled(BLOCK, PARTNERS, repeats=2, source=ALL_DOCUMENTS)}
 SELECT idx1, rep, string_agg(idx2, ',' ORDER BY rank) AS partners FROM drawn GROUP BY idx1, rep""",
-    "sample_pairs": f"WITH {_DRAWN} SELECT idx1, idx2, rep, rank FROM drawn",
+    "sample_pairs": f"""WITH {sampled(BLOCK, PARTNERS, source=ALL_DOCUMENTS)}
+SELECT idx1, idx2, rep, rank FROM drawn""",
     "score_pairs": f"""WITH {_DRAWN}, {SCORED}
 SELECT idx1, idx2, sentence1, sentence2, similarity FROM scored""",
     "cosine": """SELECT a.vec_id, round(list_cosine_similarity(
   CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
     "drop_self_pairs": f"""WITH {_OVERLAP}
-SELECT idx1, idx2, copy, rep, rank, similarity FROM overlap WHERE idx1 <> idx2""",
+SELECT idx1, idx2, sentence1, sentence2, copy, rep, rank, similarity FROM overlap WHERE idx1 <> idx2""",
     "dedup_pairs": f"WITH {_OVERLAP} {_KEPT}",
     "dedup_pairs_ranked": f"WITH {_OVERLAP} {_KEPT}",
     "pair_dedup_stats": f"""WITH {_OVERLAP}
@@ -226,6 +244,11 @@ ranked AS (
   FROM scored
 )
 SELECT idx1, idx2, sentence1, sentence2, similarity FROM ranked WHERE n = 1""",
+    "job_similarity_blocks": f"""WITH {SENTENCES}
+SELECT least(a.idx, b.idx) AS idx1, greatest(a.idx, b.idx) AS idx2, a.text AS sentence1, b.text AS sentence2,
+  round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
+FROM sents a JOIN sents b ON a.idx // {BLOCK} = b.idx // {BLOCK} AND a.idx < b.idx
+WHERE a.idx % 7 <> 3 AND b.idx % 7 <> 3""",
     "write_batches": f"""WITH {_OVERLAP}
 SELECT 'batch_' || (least(idx1, idx2) // {BLOCK} * {BLOCK}) || '_'
   || (least(idx1, idx2) // {BLOCK} * {BLOCK} + {BLOCK}) AS batch, count(*) AS pairs
@@ -234,10 +257,10 @@ FROM overlap GROUP BY 1""",
     "pairs_per_batch": f"""WITH {_OVERLAP}
 SELECT CAST(least(idx1, idx2) // {BLOCK} * {BLOCK} AS BIGINT) AS batch_id, count(*) AS pairs
 FROM overlap GROUP BY 1""",
-    "batch_number": f"""WITH {SENTENCES}
+    "batch_number": f"""WITH {ALL_DOCUMENTS}
 SELECT idx, 'pairs_batch_' || (idx // {BLOCK} * {BLOCK}) || '_' || (idx // {BLOCK} * {BLOCK} + {BLOCK})
   || '.parquet' AS name, CAST(idx // {BLOCK} * {BLOCK} AS BIGINT) AS batch_no FROM sents
-UNION ALL SELECT idx, 'pairs_' || idx || '.parquet', CAST(0 AS BIGINT) FROM sents""",
+UNION ALL SELECT idx, '/batch_7_8/out/pairs_' || idx || '.parquet', CAST(0 AS BIGINT) FROM sents""",
     "order_batches": f"WITH {_OVERLAP} {_ROWS} ORDER BY batch_no, idx1, idx2, similarity",
     "union_batches": f"""WITH {_OVERLAP}, r AS ({_ROWS})
 SELECT * EXCLUDE (batch_no) FROM r UNION ALL SELECT * EXCLUDE (batch_no) FROM r""",

@@ -103,8 +103,7 @@ qqp AS (
 REASONING = f"""{PAIRS},
 o1 AS (
   SELECT "index", {planted('q')} AS prompt,
-    '<Thought>' || a || '</Thought>' || chr(10) || '<Output>' || ({sentences_of("a")})[1]
-      || '</Output>' AS response,
+    '<Thought>' || a || '</Thought>' || chr(10) || '<Output>' || a || '</Output>' AS response,
     turn < 2 AS opening
   FROM paq
 )"""
@@ -138,12 +137,13 @@ sents AS (
   SELECT vec_id AS idx, text, embedding FROM embeddings JOIN documents ON doc_id = vec_id
 )"""
 
+ALL_DOCUMENTS = """
+sents AS (SELECT doc_id AS idx, text FROM documents)"""
+
 IMAGES = f"""
 k12 AS (
   SELECT CAST(page_id AS VARCHAR) AS id,
-    list_transform(
-      list_filter(regexp_extract_all({planted('html')}, '<p>([^<]*)', 1),
-        lambda p: p = '' OR length(p) >= 200),
+    list_transform(regexp_extract_all({planted('html')}, '(?s)<p>(.*?)</p>', 1),
       lambda p: nullif(p, '')) AS images,
     html AS problem, url AS answer,
     CASE WHEN contains(url, '?') THEN '1' ELSE '0' END AS pass
@@ -156,7 +156,9 @@ flagged AS (
 )"""
 
 
-def sampled(block: int, partners: int, repeats: int = 1, seed: int = 42) -> str:
+def sampled(
+    block: int, partners: int, repeats: int = 1, seed: int = 42, source: str = SENTENCES
+) -> str:
     """CTE ``drawn`` (idx1, rep, rank, idx2): the sampled pairs, step by step."""
     steps = []
     for step in range(partners):
@@ -170,7 +172,7 @@ def sampled(block: int, partners: int, repeats: int = 1, seed: int = 42) -> str:
             f"CASE WHEN list_contains(chosen, {draw}) THEN {top} ELSE {draw} END) AS chosen "
             f"FROM draw{step})"
         )
-    return f"""{SENTENCES},
+    return f"""{source},
 draw0 AS (
   SELECT idx, rep, (idx // {block}) * {block} AS start,
     least({block}, (SELECT max(idx) + 1 FROM sents) - (idx // {block}) * {block}) - 1 AS others,

@@ -18,8 +18,8 @@ from lexiloom.catalog.sql import (
 from lexiloom.functions import text as tx
 from lexiloom.operators.embedding import embed_hashed
 
-# Fixed value: the instruction put before a text to translate.
-HEADER = "Translate the following English text into Spanish:\n\n\n"
+# The instruction put before a text; a user's own value.
+HEADER = "Give a Spanish version of this passage.\n\n\n"
 
 
 def ascii_no_han(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,6 +130,6 @@ SELECT page_id, pos, piece, {INTEGER.format("piece")} AS is_integer FROM pieces"
     "reassemble": f"""WITH {SEGMENTS}
 SELECT page_id, string_agg(text, '' ORDER BY pos) AS text FROM segments GROUP BY page_id""",
     "build_prompt": f"""SELECT conv_id, turn,
-  'Translate the following English text into Spanish:' || repeat(chr(10), 3) || text AS prompt
+  'Give a Spanish version of this passage.' || repeat(chr(10), 3) || text AS prompt
 FROM conversations""",
 }

@@ -6,13 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Name formats.
-BATCH_NAME = r"batch_(\d+)_\d+"
+BATCH_FILE = r"batch_(\d+)_\d+[^/]*\z"
+BATCH_FOLDER = r"batch_(\d+)_\d+[^/]*/[^/]*\z"
 FILENAME_SEPARATOR = "||"
 
 
 def batch_number(name: Column) -> Column:
-    """The first row of the batch a name speaks of, 0 when it names none."""
-    return F.coalesce(F.regexp_extract(name, BATCH_NAME, 1).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """The first row of the batch a file's name speaks of, or else its folder's.
+
+    0 when neither names one; folders further up do not count.
+    """
+    found = [F.regexp_extract(name, pattern, 1).try_cast("bigint") for pattern in (BATCH_FILE, BATCH_FOLDER)]
+    return F.coalesce(*found, F.lit(0).cast("bigint"))
 
 
 def batch_id(index: Column, size: int) -> Column:

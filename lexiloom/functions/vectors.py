@@ -36,14 +36,21 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def _matrix(vectors: pa.ListArray) -> np.ndarray:
-    """A list column without NULLs as a two-dimensional array."""
-    flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(vectors), -1) if len(vectors) else np.empty((0, 0))
+    """A list column as a two-dimensional array; NaN where a vector is NULL."""
+    there = vectors.is_valid().to_numpy(zero_copy_only=False)
+    widths = vectors.value_lengths().drop_null().unique().to_pylist()
+    if len(widths) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(widths)}")
+    out = np.full((len(vectors), widths[0] if widths else 0), np.nan)
+    if there.any():
+        out[there] = vectors.flatten().to_numpy(zero_copy_only=False).reshape(int(there.sum()), -1)
+    return out
 
 
 def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row; NaN where a vector is all zero."""
-    a, b = a.astype(np.float64), b.astype(np.float64)
+    """Row by row; NaN where a vector is NULL or all zero."""
+    if not a.shape[1] or not b.shape[1]:  # NULL vectors only, on one side at least
+        return np.full(len(a), np.nan)
     lengths = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(lengths > 0, np.einsum("ij,ij->i", a, b) / lengths, np.nan)
@@ -54,7 +61,7 @@ def _nullable(values: np.ndarray) -> pa.Array:
 
 
 def batch_cosine(a: Column, b: Column) -> Column:
-    """``cosine`` of two columns without NULLs, batch by batch."""
+    """``cosine`` batch by batch; vectors of different lengths are an error."""
 
     @F.arrow_udf("double")
     def run(left: pa.Array, right: pa.Array) -> pa.Array:

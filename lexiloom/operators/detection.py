@@ -18,6 +18,13 @@ NativeDetector = Callable[[Column], Column]
 DetectorFactory = Callable[[], Callable[[bytes], bool]]
 
 
+class Unreadable(Exception):
+    """What a detector raises for a payload it cannot open; anything else stops the job."""
+
+    # Looked at in place of the class, of which a worker may have two copies.
+    payload_unreadable = True
+
+
 def han_payload(payload: Column) -> Column:
     """Native detector: the payload, read as UTF-8 text, contains Han characters."""
     return has_han(F.make_valid_utf8(payload.cast("string")))
@@ -36,8 +43,9 @@ def _row_hit(detect: Callable[[bytes], bool], payloads: Iterable[bytes] | None)
         try:
             if detect(payload):
                 return True
-        except Exception:
-            continue
+        except Exception as error:
+            if not getattr(error, "payload_unreadable", False):
+                raise
     return False
 
 
@@ -102,6 +110,12 @@ def without_detections_anti(
     return rows.join(hits, row_id, "left_anti")
 
 
+def file_address(path: Column) -> Column:
+    """One spelling per file: ``/x``, ``file:/x`` and ``file:///x`` are the same."""
+    bare = F.regexp_replace(path, r"^file:/+", "/")
+    return F.when(F.startswith(bare, F.lit("/")), F.concat(F.lit("file:"), bare)).otherwise(bare)
+
+
 def without_detections_by_path(
     df: DataFrame,
     files: DataFrame,
@@ -114,18 +128,27 @@ def without_detections_by_path(
 
     ``files`` is (path, payload), as ``readers.scan_binary`` gives it. Each file
     is looked at once, however many rows name it, and no payload is shuffled:
-    only paths of hits and row ids are. Paths without a file count as unreadable.
+    only paths of hits and row ids are. Paths without a file count as unreadable;
+    ``paths_without_file`` names them.
     """
     rows = _require_images(df, images)
     payload = F.array("payload")
     hit = outside_detector(outside)(payload) if outside else any_detected(payload, native)
-    hit_paths = files.withColumn("_hit", hit).filter("_hit").select("path").distinct()
-    named = rows.select(row_id, F.explode(images).alias("path"))
+    hit_paths = files.withColumn("_hit", hit).filter("_hit").select(file_address(F.col("path")).alias("path")).distinct()
+    named = rows.select(row_id, F.explode(images).alias("path")).withColumn("path", file_address(F.col("path")))
     uses = stage(named.groupBy("path").agg(F.count(F.lit(1)).alias("uses")), "path-uses")
     hits = join_spread(named, hit_paths, "path", [row_id], uses, "inner").select(row_id).distinct()
     return rows.join(hits, row_id, "left_anti")
 
 
+def paths_without_file(df: DataFrame, files: DataFrame, images: str = "images") -> DataFrame:
+    """(path): what rows name and ``files`` does not have."""
+    named = _require_images(df, images).select(F.explode(images).alias("path"))
+    there = files.select(file_address(F.col("path")).alias("path"))
+    wanted = named.select(file_address(F.col("path")).alias("path")).filter("path IS NOT NULL").distinct()
+    return wanted.join(there, "path", "left_anti")
+
+
 def detection_stats(df: DataFrame, images: str = "images", **detector: object) -> DataFrame:
     """Scanned, kept and dropped row counts, as one row."""
     flagged = flag_detections(df, images, **detector)

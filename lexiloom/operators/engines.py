@@ -18,8 +18,7 @@ from pyspark.sql import types as T
 
 RESULT = T.StructType().add("texts", T.ArrayType(T.StringType())).add("error", T.StringType())
 
-# A literal map is searched entry by entry, so it must stay small; larger
-# glossaries go through ``translation.translate_by_glossary_table``.
+# A literal map is searched entry by entry, so larger ones go to Python instead.
 LITERAL_GLOSSARY = 256
 
 
@@ -40,20 +39,27 @@ class GaveUp(RuntimeError):
 
 
 class Glossary:
-    """Native engine: each space-separated word through a small fixed map."""
+    """Each space-separated word through a fixed map, as a native expression while
+    the map is small; the same answers either way. For a map that is a table, see
+    ``translation.translate_by_glossary_table``."""
 
     def __init__(self, words: Mapping[str, str]):
-        if not 0 < len(words) <= LITERAL_GLOSSARY:
-            raise ValueError(f"a glossary here has 1 to {LITERAL_GLOSSARY} words")
+        if not words:
+            raise ValueError("a glossary has at least one word")
         self.words = dict(words)
 
     def text(self, text: Column) -> Column:
+        if len(self.words) > LITERAL_GLOSSARY:
+            return F.get(self(F.array(text))["texts"], F.lit(0))
         table = F.create_map(*[F.lit(part) for pair in self.words.items() for part in pair])
         return F.array_join(
             F.transform(F.split(text, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " "
         )
 
     def __call__(self, texts: Column) -> Column:
+        if len(self.words) > LITERAL_GLOSSARY:
+            words = self.words
+            return TranslatorEngine(lambda: WordSwap(words))(texts)
         return F.struct(
             F.transform(texts, self.text).alias("texts"), F.lit(None).cast("string").alias("error")
         )

@@ -16,10 +16,14 @@ def _with_images(df: DataFrame) -> DataFrame:
 def manifest(
     df: DataFrame, image_format: str = "png", limit: int | None = None, order: str = "id"
 ) -> DataFrame:
-    """One line per row with images; ``limit`` counts the lines written."""
+    """One line per row with images; ``limit`` counts the lines written.
+
+    The first lines by ``order``, numbers by their value and before other texts.
+    """
     rows = _with_images(df)
     if limit is not None:
-        rows = rows.orderBy(order).limit(limit)
+        number = F.col(order).cast("string").try_cast("decimal(38,0)")
+        rows = rows.orderBy(number.asc_nulls_last(), order).limit(limit)
     empty = F.lit("")
     named = rows.select(
         "id",

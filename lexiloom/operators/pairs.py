@@ -21,50 +21,32 @@ def _draw(seed: int, repeat: int, step: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def _with_draws(
-    sentences: DataFrame, block_size: int, partners: int, repeats: int, seed: int
-) -> DataFrame:
-    """Adds what the sample of a row is made from: its place, its block's size, its draws."""
-    # The row count is a scalar subquery over the one column: no join.
-    total = (sentences.agg(F.max("idx")).scalar() + 1).cast("bigint")
-    start = batch_id(F.col("idx"), block_size) * block_size
-    # Written out per draw rather than as a lambda, so that it is compiled.
-    draws = [F.array(*[_draw(seed, r, s) for s in range(partners)]) for r in range(repeats)]
-    return sentences.select(
-        "*",
-        start.alias("_start"),
-        (F.least(F.lit(block_size).cast("bigint"), total - start) - 1).alias("_others"),
-        F.array(*draws).alias("_draws"),
-    )
+def _draws(partners: int, repeats: int, seed: int) -> Column:
+    """The draws of a row, by repeat; written out one by one, so that they are compiled."""
+    return F.array(*[F.array(*[_draw(seed, r, s) for s in range(partners)]) for r in range(repeats)])
 
 
-def _partner_lists(partners: int) -> Column:
-    """Per repeat, that many different other rows of the block.
+def _places(draws: Column, others: Column, own: Column, partners: int) -> Column:
+    """Places in a block of that many different other rows than the one at ``own``.
 
-    Floyd's sampling without replacement: ``partners`` draws per row and
-    repeat, whatever the block size, and no shuffle. With fewer others in the
-    block, all of them.
+    Floyd's sampling without replacement: ``partners`` draws, whatever the
+    block size. With fewer others in the block, all of them.
     """
-    others, offset = F.col("_others"), F.col("idx") - F.col("_start")
     nobody = F.array().cast("array<bigint>")
 
-    def one_repeat(draws: Column) -> Column:
-        def add(chosen: Column, step: Column) -> Column:
-            top = others - partners + step
-            drawn = F.pmod(F.get(draws, step), top + 1)
-            return F.concat(
-                chosen, F.array(F.when(F.array_contains(chosen, drawn), top).otherwise(drawn))
-            )
-
-        few = F.when(others > 0, F.sequence(F.lit(0).cast("bigint"), others - 1)).otherwise(nobody)
-        many = F.aggregate(F.sequence(F.lit(0), F.lit(partners - 1)), nobody, add)
-        # Places count the other rows only, so step over the row itself.
-        return F.transform(
-            F.when(others <= partners, few).otherwise(many),
-            lambda p: F.col("_start") + p + F.when(p >= offset, 1).otherwise(0),
+    def add(chosen: Column, step: Column) -> Column:
+        top = others - partners + step
+        drawn = F.pmod(F.get(draws, step), top + 1)
+        return F.concat(
+            chosen, F.array(F.when(F.array_contains(chosen, drawn), top).otherwise(drawn))
         )
 
-    return F.transform("_draws", one_repeat)
+    few = F.when(others > 0, F.sequence(F.lit(0).cast("bigint"), others - 1)).otherwise(nobody)
+    many = F.aggregate(F.sequence(F.lit(0), F.lit(partners - 1)), nobody, add)
+    # Drawn numbers count the other rows only, so step over the row itself.
+    return F.transform(
+        F.when(others <= partners, few).otherwise(many), lambda p: p + F.when(p >= own, 1).otherwise(0)
+    )
 
 
 def sample_partners(
@@ -76,12 +58,30 @@ def sample_partners(
 ) -> DataFrame:
     """(idx1, rep, partners): the sampled partners of each row, in draw order.
 
-    ``idx`` must run from 0 without gaps. The lists go into the generator as
-    an expression: from a named column Spark would infer a filter and sample
-    again for it.
+    No shuffle. ``idx`` must run from 0 without gaps, anything else is an error:
+    ``similar_pairs`` takes tables with gaps. The lists go into the generator
+    as an expression: from a named column Spark would infer a filter and
+    sample again for it.
     """
-    return _with_draws(sentences, block_size, partners, repeats, seed).select(
-        F.col("idx").alias("idx1"), F.posexplode(_partner_lists(partners)).alias("rep", "partners")
+    # The row count is a scalar subquery over the one column: no join.
+    count, end = F.count(F.lit(1)), F.coalesce(F.max("idx") + 1, F.lit(0))
+    gaps = F.raise_error(F.lit("idx does not run from 0 without gaps")).cast("bigint")
+    total = sentences.agg(F.when(count == end, count).otherwise(gaps)).scalar()
+    start = batch_id(F.col("idx"), block_size) * block_size
+    placed = sentences.select(
+        "*",
+        start.alias("_start"),
+        (F.least(F.lit(block_size).cast("bigint"), total - start) - 1).alias("_others"),
+        _draws(partners, repeats, seed).alias("_draws"),
+    )
+    own = F.col("idx") - F.col("_start")
+
+    def listed(draws: Column) -> Column:
+        places = _places(draws, F.col("_others"), own, partners)
+        return F.transform(places, lambda p: F.col("_start") + p)
+
+    return placed.select(
+        F.col("idx").alias("idx1"), F.posexplode(F.transform("_draws", listed)).alias("rep", "partners")
     )
 
 
@@ -124,12 +124,12 @@ def similar_pairs(
     rows) becomes one row and its pairs are formed inside it. A mirrored pair
     is recognised there too: when both rows drew each other, the lower id's
     draw is the first seen and the other one is left out. ``together``
-    neighbouring blocks come out of the same task.
+    neighbouring blocks come out of the same task. Partners are places in the
+    sorted block, so ``idx`` may have gaps. A NULL vector gives a NULL score.
     """
-    drawn = F.array_distinct(F.flatten(_partner_lists(partners)))
-    members = _with_draws(sentences, block_size, partners, repeats, seed).select(
+    members = sentences.select(
         batch_id(F.col("idx"), block_size).alias("batch_id"),
-        F.struct("idx", "text", "embedding", drawn.alias("drawn")).alias("member"),
+        F.struct("idx", "text", "embedding", _draws(partners, repeats, seed).alias("draws")).alias("member"),
     )
     keys = ["batch_id"]
     if together > 1:
@@ -137,18 +137,20 @@ def similar_pairs(
         members = members.withColumn("_group", batch_id(F.col("batch_id"), together)).repartition("_group")
         keys = ["_group", "batch_id"]
     blocks = members.groupBy(*keys).agg(F.sort_array(F.collect_list("member")).alias("block"))
-    block, start = F.col("block"), F.col("batch_id") * block_size
-
-    def wanted(a: Column) -> Column:
-        """Places of the partners whose pair with ``a`` is kept."""
-        places = F.transform(a["drawn"], lambda j: (j - start).cast("int"))
-        return F.filter(
-            places,
-            lambda p: (a["idx"] < start + p)
-            | ~F.array_contains(F.get(block, p)["drawn"], a["idx"]),
-        )
+    block, others = F.col("block"), (F.size("block") - 1).cast("bigint")
+
+    def drawn(a: Column, at: Column) -> Column:
+        """Places of the partners of ``a``, over all repeats."""
+        places = F.transform(a["draws"], lambda d: _places(d, others, at.cast("bigint"), partners))
+        return F.transform(F.array_distinct(F.flatten(places)), lambda p: p.cast("int"))
 
-    planned = blocks.withColumn("wanted", F.transform(block, wanted))
+    def wanted(places: Column, at: Column) -> Column:
+        """Those of them whose pair with the row at ``at`` is kept."""
+        return F.filter(places, lambda p: (at < p) | ~F.array_contains(F.get("drawn", p), at))
+
+    planned = blocks.withColumn("drawn", F.transform(block, drawn)).withColumn(
+        "wanted", F.transform("drawn", wanted)
+    )
     scored = planned.withColumn(
         "scores", block_cosines(F.transform("block", lambda m: m["embedding"]), F.col("wanted"))
     )
@@ -159,7 +161,7 @@ def similar_pairs(
             F.get("scores", at),
             lambda p, score: F.struct(
                 a["idx"].alias("idx1"),
-                (start + p).alias("idx2"),
+                F.get(block, p)["idx"].alias("idx2"),
                 a["text"].alias("sentence1"),
                 F.get(block, p)["text"].alias("sentence2"),
                 F.round(score, 6).alias("similarity"),

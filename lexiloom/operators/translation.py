@@ -6,6 +6,9 @@ regrouped. Results carry ``status`` (``ok`` or ``quarantined``) and ``reason``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -185,21 +188,36 @@ def translate_distinct(
     """Each distinct text translated once, then joined back to its rows.
 
     The translations are written once to the shared folder and read from there
-    by every later step. Texts that many rows share are salted in the join.
+    by every later step. Texts that many rows share are salted in the join;
+    rows without a text have no part in it and get their status like any other.
     """
+    missing = df.filter(F.col(column).isNull())
     uses = (
         df.filter(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("uses"))
     )
     memory = stage(translate_column(uses, column, engine, output), "translations")
-    return join_spread(
-        df,
+    joined = join_spread(
+        df.filter(F.col(column).isNotNull()),
         memory.select(column, output, "status", "reason"),
         column,
         [row_id],
         memory.select(column, "uses"),
     )
+    return joined.unionByName(translate_column(missing, column, engine, output))
+
+
+def _swapped(shared) -> Callable[[Column], Column]:
+    @F.arrow_udf("string")
+    def swap(texts: pa.Array) -> pa.Array:
+        known = shared.value
+        return pa.array(
+            [None if t is None else " ".join([known.get(w, w) for w in t.split(" ")]) for t in texts.to_pylist()],
+            pa.string(),
+        )
+
+    return swap
 
 
 def translate_by_glossary_table(
@@ -208,9 +226,10 @@ def translate_by_glossary_table(
     """Word-for-word translation with a glossary table of any size.
 
     ``glossary``: (word, target), one row per word. The distinct words of the
-    column meet the glossary first, and the hits are written once: they are
-    broadcast when they prove small, else joined with frequent words salted.
-    Each text is then put together again from its own words.
+    column meet the glossary first, and the hits are written once. Where they
+    prove small they are broadcast as one dictionary; else they are joined with
+    frequent words salted, and each text is put together again from its own
+    words. A NULL text stays NULL.
     """
     words = df.select(row_id, F.posexplode(F.split(column, " ")).alias("_at", "word"))
     uses = words.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
@@ -218,9 +237,11 @@ def translate_by_glossary_table(
     used = stage(uses.join(known, "word"), "glossary-hits")
     targets = used.select("word", "_target")
     if is_small(used, ["word", "_target"]):
-        joined = words.join(F.broadcast(targets), "word", "left")
-    else:
-        joined = join_spread(words, targets, "word", [row_id, "_at"], used.select("word", "uses"))
+        # Each text meets the few hits where it lies: no words, no regrouping.
+        hits = {r["word"]: r["_target"] for r in targets.collect()}
+        shared = df.sparkSession.sparkContext.broadcast(hits)
+        return df.select(row_id, _swapped(shared)(F.col(column)).alias(output))
+    joined = join_spread(words, targets, "word", [row_id, "_at"], used.select("word", "uses"))
     text = F.array_join(
         F.transform(
             F.sort_array(
@@ -230,4 +251,5 @@ def translate_by_glossary_table(
         ),
         " ",
     )
-    return joined.groupBy(row_id).agg(text.alias(output))
+    missing = df.filter(F.col(column).isNull()).select(row_id, F.lit(None).cast("string").alias(output))
+    return joined.groupBy(row_id).agg(text.alias(output)).unionByName(missing)

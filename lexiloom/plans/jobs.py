@@ -11,6 +11,7 @@ from lexiloom.functions.names import batch_id
 from lexiloom.operators import detection, dictionary, export, indexing, pairs, translation
 from lexiloom.operators.engines import Engine
 from lexiloom.schemas import (
+    DICTIONARY,
     PAIR_COLUMNS,
     REASONING_COLUMNS,
     SCORED_PAIR_COLUMNS,
@@ -62,18 +63,23 @@ def sentence_similarity(
     found = pairs.similar_pairs(sentences, together=blocks_per_folder, **options).withColumn(
         "batch_id", batch_id(F.col("idx1"), size)
     )
-    writers.write_batches(found, out, "batch_id", size, gather=False)
+    writers.write_batches(found, out, "batch_id", size, gather=False, only=True)
     written = readers.read_batches(sentences.sparkSession, out, SCORED_PAIRS)
     return conform(written, SCORED_PAIR_COLUMNS)
 
 
 def consolidate(spark: SparkSession, batches: str, out: str) -> DataFrame:
-    """Batch outputs to one deduplicated CSV; returns the statistics."""
+    """Batch outputs to one deduplicated CSV; returns the statistics.
+
+    ``files_skipped`` counts the files no row could be read from;
+    ``readers.skipped_files`` names them.
+    """
     loaded = readers.read_batches(spark, batches, SCORED_PAIRS)
     first_seen = ["batch_no", "idx1", "idx2", "similarity"]
     final = pairs.dedup_pairs(loaded, first_seen)
     writers.write_csv(conform(final, SCORED_PAIR_COLUMNS), out)
-    return pairs.pair_dedup_stats(loaded)
+    skipped = readers.skipped_files(spark, batches, SCORED_PAIRS).agg(F.count(F.lit(1))).scalar()
+    return pairs.pair_dedup_stats(loaded).withColumn("files_skipped", skipped)
 
 
 def markup_corpus(
@@ -84,12 +90,18 @@ def markup_corpus(
     index: str = "index",
     max_samples: int | None = None,
 ) -> DataFrame:
-    """Markup-safe translation of a text table; returns what was written."""
-    chosen = indexing.slice_by_index(texts, 0, max_samples, index)
-    done = translation.translate_markup(chosen, column, engine)
-    writers.append_run(done.select(index, "translation", "status", "reason"), f"{out}/rows")
-    written = texts.sparkSession.read.parquet(f"{out}/rows")
-    writers.write_csv(translation.good_rows(written).select("translation"), f"{out}/csv")
+    """Markup-safe translation of a text table, resumable; returns what was written.
+
+    The CSV has the good rows of all runs in index order.
+    """
+
+    def translate(rows: DataFrame) -> DataFrame:
+        done = translation.translate_markup(rows, column, engine)
+        return done.select(index, "translation", "status", "reason")
+
+    written = _resumable(texts, f"{out}/rows", translate, 0, max_samples, index)
+    good = translation.good_rows(written).orderBy(index)
+    writers.write_csv(good.select("translation"), f"{out}/csv")
     return written
 
 
@@ -100,19 +112,25 @@ def reasoning_corpus(
     max_samples: int | None = None,
     index: str | None = None,
 ) -> DataFrame:
-    """Prompt/response sources to translated thoughts and outputs.
+    """Prompt/response sources to translated thoughts and outputs, resumable.
 
-    ``max_samples`` needs the name of an ordinal column to count by.
+    ``max_samples`` needs the name of an ordinal column to count by. Without one,
+    rows are told apart by a digest of their texts, in ``row_key``.
     """
     together = readers.union_sources(*sources)
-    if max_samples is not None:
-        if index is None:
+    key = index
+    if key is None:
+        if max_samples is not None:
             raise ValueError("max_samples counts by an index column")
-        together = indexing.slice_by_index(together, 0, max_samples, index)
-    done = translation.translate_reasoning(together, engine)
-    writers.append_run(done, f"{out}/rows")
-    written = together.sparkSession.read.parquet(f"{out}/rows")
-    good = conform(translation.good_rows(written), REASONING_COLUMNS)
+        key = "row_key"
+        texts = F.to_json(F.struct("prompt", "response"), {"ignoreNullFields": "false"})
+        together = together.withColumn(key, F.sha2(texts, 256))
+
+    def translate(rows: DataFrame) -> DataFrame:
+        return translation.translate_reasoning(rows, engine)
+
+    written = _resumable(together, f"{out}/rows", translate, None if index is None else 0, max_samples, key)
+    good = conform(translation.good_rows(written).orderBy(key), REASONING_COLUMNS)
     writers.write_csv(good, f"{out}/csv")
     return written
 
@@ -121,21 +139,24 @@ def _resumable(
     df: DataFrame,
     out: str,
     translate: Callable[[DataFrame], DataFrame],
-    skip: int,
+    skip: int | None,
     max_rows: int | None,
+    index: str = "index",
 ) -> DataFrame:
     """Translate the rows of a slice that ``out`` does not hold yet, append them.
 
     Good rows already written are passed over; quarantined ones are tried
-    again. The slice is by absolute ordinal, so a restart does not widen it.
+    again. The slice is by absolute ordinal, so a restart does not widen it;
+    without ``skip`` all rows are in it. Without any row the result is empty.
     """
     spark = df.sparkSession
-    todo = indexing.slice_by_index(df, skip, max_rows)
+    todo = df if skip is None else indexing.slice_by_index(df, skip, max_rows, index)
+    schema = translate(df).withColumn("processed_at", F.current_timestamp()).schema
     if writers.exists(spark, out):
-        before = spark.read.parquet(out).filter(F.col("status") == translation.OK)
-        todo = indexing.pending(todo, before)
+        before = spark.read.schema(schema).parquet(out).filter(F.col("status") == translation.OK)
+        todo = indexing.pending(todo, before, index)
     writers.append_run(translate(todo), out)
-    return spark.read.parquet(out)
+    return spark.read.schema(schema).parquet(out)
 
 
 def last_outcomes(written: DataFrame, index: str = "index") -> DataFrame:
@@ -164,6 +185,13 @@ def triplet_corpus(
     return conform(translation.good_rows(rows), TRIPLET_COLUMNS).orderBy("index")
 
 
+def dictionary_from_lines(spark: SparkSession, lines: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """From JSON lines to both tables; lines that are no JSON go to ``out``/quarantine."""
+    entries, corrupt = readers.split_corrupt(readers.scan_dictionary(spark, lines, DICTIONARY))
+    writers.write_table(corrupt, f"{out}/quarantine")
+    return dictionary_tables(entries, out)
+
+
 def dictionary_tables(entries: DataFrame, out: str) -> tuple[DataFrame, DataFrame]:
     """Definitions and word forms as CSV; returns both."""
     chosen = dictionary.select_entries(entries)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,18 +69,24 @@ def read_batches(spark: SparkSession, path: str, schema: str, pattern: str = "*.
 
 
 def skipped_files(spark: SparkSession, path: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
-    """Names of files under ``path`` from which no row could be read."""
-    names = (
+    """Files under ``path``, by their whole address, from which no row could be read.
+
+    Files of different batch folders often share a name.
+    """
+    files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(F.regexp_extract("path", r"[^/]*\z", 0).alias("file"))
-    )
-    read = read_batches(spark, path, schema, pattern).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"[^/]*\z", 0).alias("file")
+        .select(_address(F.col("path")).alias("file"))
     )
-    return names.join(read.distinct(), "file", "left_anti")
+    read = read_batches(spark, path, schema, pattern).select(_address(F.col("_metadata.file_path")).alias("file"))
+    return files.join(read.distinct(), "file", "left_anti")
+
+
+def _address(path: Column) -> Column:
+    """One spelling for a file's address, however a reader writes it."""
+    return F.replace(F.regexp_replace(path, r"^(\w+):/+", "$1:/"), F.lit("%20"), F.lit(" "))
 
 
 def scan_binary(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

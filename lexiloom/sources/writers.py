@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from lexiloom.functions.names import batch_name
 from lexiloom.schemas import lists_as_json
 
-# CSV dialect, quotes doubled and only where needed.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "emptyValue": ""}
+# CSV dialect, quotes doubled and only where needed, no trimming.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true"}
 
 
@@ -33,10 +40,17 @@ def write_csv(df: DataFrame, path: str, overwrite: bool = True) -> None:
 
 
 def write_batches(
-    df: DataFrame, path: str, batch: str = "batch_id", size: int = 1000, gather: bool = True
+    df: DataFrame,
+    path: str,
+    batch: str = "batch_id",
+    size: int = 1000,
+    gather: bool = True,
+    only: bool = False,
 ) -> None:
     """One folder per batch, named after its rows; a re-run replaces only its own.
 
+    With ``only``, folders of other batches under ``path`` go as well.
+
     ``gather`` brings the rows of a batch together first, so that small batches
     are one file each and an outsized one is split over several tasks. Leave it
     out where the rows already lie by batch.
@@ -47,7 +61,7 @@ def write_batches(
         named = named.hint("rebalance", "batch")
     (
         named.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if only else "dynamic")
         .partitionBy("batch")
         .parquet(path)
     )
@@ -91,6 +105,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is one file, not a folder or a pattern."""
+    files, where = _filesystem(spark, path)
+    return files.exists(where) and files.getFileStatus(where).isFile()
+
+
 def _last_version(spark: SparkSession, target: str) -> int:
     """The highest version folder there is, 0 without one (names only are listed)."""
     files, where = _filesystem(spark, target)

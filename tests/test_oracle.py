@@ -15,7 +15,7 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 # Their values depend on hashing or file sizes; only rows are looked at.
-ROWS_ONLY = {"embed_text", "scan_binary", "output_size"}
+ROWS_ONLY = {"embed_text", "output_size"}
 # The optional training-data operators; those without SQL are tested in their own folder.
 OPTIONAL = {n for n in registered.queries() if re.match(r"op\d+_", n) or n == "pipeline"}
 
