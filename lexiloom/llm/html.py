@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +66,11 @@ _CONTENT, _OTHER = set(CONTENT_NAMES), set(OTHER_NAMES)
 
 _SPACES = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
-# A tag that the end of the page cuts off.
-_CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
+# A tag up to its end outside of quotes; else, where a quote stays open, up to any end.
+_TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_LOOSE_TAG = re.compile(r"</?([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_NAMED = re.compile(r"""(?<![\w-])(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_RAW_END = {tag: re.compile(rf"</{tag}\b", re.IGNORECASE) for tag in ("script", "style")}
 
 
 @dataclass(frozen=True)
@@ -76,10 +80,10 @@ class Block:
     linked: int
 
 
-class _Reader(HTMLParser):
+class _Reader:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.many: Counter[str] = Counter()
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -95,9 +99,12 @@ class _Reader(HTMLParser):
     def _close_to(self, place: int) -> None:
         if any(tag not in INLINE for tag, _ in self.open[place:]):
             self.flush()
+        self.many.subtract(tag for tag, _ in self.open[place:])
         del self.open[place:]
 
     def _last(self, tag: str, within: tuple[str, ...] = ()) -> int:
+        if not self.many[tag]:
+            return -1
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == tag:
                 return place
@@ -105,7 +112,7 @@ class _Reader(HTMLParser):
                 return -1
         return -1
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_P and (place := self._last("p", ("table", "button"))) >= 0:
             self._close_to(place)
         if tag in CLOSES_SAME and (place := self._last(tag, CLOSES_SAME[tag])) >= 0:
@@ -115,36 +122,72 @@ class _Reader(HTMLParser):
         elif tag not in INLINE:
             self.flush()
         if tag not in VOID:
-            names = {n for key, value in attrs if key in ("class", "id", "role", "itemprop") for n in _NAME.findall((value or "").lower())}
+            values = ("".join(found) for found in _NAMED.findall(attributes)) if "=" in attributes else ()
+            names = {n for value in values for n in _NAME.findall(value.lower())}
             self.open.append((tag, (tag, *sorted(names))))
+            self.many[tag] += 1
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         place = self._last(tag)
         if place >= 0:
             self._close_to(place)
         elif tag == "p":
             self.flush()
 
-    def handle_data(self, data):
-        tags = [tag for tag, _ in self.open]
-        if NO_TEXT.intersection(tags):
+    def data(self, data: str) -> None:
+        if not data:
+            return
+        if "&" in data:
+            data = unescape(data)
+        if any(self.many[tag] for tag in NO_TEXT):
             return
         if not self.parts or not any(p.strip() for p in self.parts):
             self.path = tuple(n for tag, names in self.open if tag not in INLINE for n in names)
         self.parts.append(data)
-        if "a" in tags:
+        if self.many["a"]:
             self.linked += len(data.strip())
 
 
 def read_blocks(html: str) -> list[Block]:
-    reader = _Reader()
-    reader.feed(_CUT_TAG.sub("", html))
-    reader.close()
+    """Leaf blocks in page order. Every character is looked at a few times at most,
+    however broken the page; what an open comment or tag swallows at its end is lost."""
+    reader, at, last_end = _Reader(), 0, html.rfind(">")
+    while at < len(html):
+        begin = html.find("<", at)
+        reader.data(html[at:begin] if begin >= 0 else html[at:])
+        if begin < 0:
+            break
+        if html.startswith("<!--", begin):
+            end = html.find("-->", begin + 4)
+            if end < 0:
+                break
+            at = end + 3
+            continue
+        closing = html.startswith("/", begin + 1)
+        letter = html[begin + 1 + closing : begin + 2 + closing]
+        marked = letter.isascii() and letter.isalpha()
+        if not marked and letter not in ("!", "?"):
+            reader.data("<")
+            at = begin + 1
+            continue
+        if begin > last_end:  # cut off by the end of the page
+            break
+        match = marked and (_TAG.match(html, begin) or _LOOSE_TAG.match(html, begin))
+        if not match:  # a declaration
+            at = html.find(">", begin) + 1
+            continue
+        at, tag = match.end(), match[1].lower()
+        if closing:
+            reader.end(tag)
+            continue
+        reader.start(tag, match[2])
+        if tag in _RAW_END:
+            raw = _RAW_END[tag].search(html, at)
+            if not raw:
+                break
+            at = raw.start()
+        elif tag not in VOID and match[2].endswith("/"):
+            reader.end(tag)
     reader.flush()
     return reader.blocks
 

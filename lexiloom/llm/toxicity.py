@@ -56,14 +56,22 @@ DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 # 1 stands for i and for l, so these two are one letter in folded text.
 _LETTERS = str.maketrans(HOMOGLYPHS | {"ⅼ": "i", "l": "i"})
 _SIGNS = str.maketrans(DIGITS)
-_MIXED = re.compile(r"(?=[0-9@$]*[a-z])[a-z0-9@$]*[0-9@$][a-z0-9@$]*[a-z]")
+# Tokens with a digit or sign; begun at their first character and never given back,
+# so that a token of any length is read once.
+_MIXED = re.compile(r"(?<![a-z0-9@$])[a-z]*+[0-9@$][a-z0-9@$]*+")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+def _spelled(match: re.Match) -> str:
+    """Digits and signs up to the last letter as letters."""
+    end = len(match[0].rstrip("0123456789@$"))
+    return match[0][:end].translate(_SIGNS) + match[0][end:]
+
+
 def fold(text: str) -> str:
     """Words of folded letters, each with one space before and after."""
     text = text.lower().translate(_LETTERS)
-    text = _MIXED.sub(lambda m: m[0].translate(_SIGNS), text)
+    text = _MIXED.sub(_spelled, text)
     return f" {_NOT_LETTERS.sub(' ', text).strip()} "
 
 
