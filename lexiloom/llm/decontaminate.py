@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.words import ALNUM, longs, pieces, split_words
+from lexiloom.llm.words import ALNUM, longs, pieces, set_aside, split_words
 from lexiloom.session import stage
 
 WINDOW = 10
 SHINGLE = 3
 # Distinct windows, and distinct shingles, of one broadcast: about 100 MB at most.
 PART_WINDOWS = 500_000
+RESULTS = ("n_words", "starts", "ends", "items")
 
 
 def _windows_of_items(window: int, shingle: int):
@@ -286,16 +287,26 @@ def find_benchmark_words(
 ) -> DataFrame:
     """Every column of ``docs`` and what was found in its ``text``.
 
-    Added: ``_n_words``; ``_starts`` and ``_ends``, word spans covered by a window;
+    Added, or replaced where the names are taken: ``_n_words``; ``_starts`` and ``_ends``, word spans covered by a window;
     ``_items``, ids as strings of the items with a window there. Null or empty
     texts have no words; an item without words has no window; an item of fewer
     words than ``window`` is one window; a null item id counts as the empty string;
     repeated items and rows are found alike; an empty benchmark finds nothing.
     """
-    spark = docs.sparkSession
-    indexes = build_indexes(docs, benchmark, window, shingle, part_windows)
-    kept = [c for c in docs.columns if c != "text"]
-    renamed = docs.select("text", *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
+    renamed, back = set_aside(docs.drop(*(f"_{c}" for c in RESULTS)))
+    found = _with_hits(renamed, benchmark, window, shingle, part_windows)
+    return found.select(*back, *(F.col(c).alias(f"_{c}") for c in RESULTS))
+
+
+def _with_hits(
+    renamed: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    part_windows: int = PART_WINDOWS,
+) -> DataFrame:
+    spark = renamed.sparkSession
+    indexes = build_indexes(renamed, benchmark, window, shingle, part_windows)
     found = renamed.select(
         "*",
         F.lit(0).cast("bigint").alias("n_words"),
@@ -307,18 +318,14 @@ def find_benchmark_words(
         if i:  # one part in memory at a time
             found = stage(found, "benchmark-hits")
         found = found.mapInArrow(_probe(spark.sparkContext.broadcast(index), shingle), found.schema)
-    back = {c: f"c{i}" for i, c in enumerate(kept)} | {"text": "text"}
-    return found.select(
-        *(F.col(back[c]).alias(c) for c in docs.columns),
-        *(F.col(c).alias(f"_{c}") for c in ("n_words", "starts", "ends", "items")),
-    )
+    return found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = find_benchmark_words(docs.select("doc_id", "text"), benchmark, **settings)
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return found.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("n_words", "starts", "ends", "items"))).mapInArrow(
+    return found.select("doc_id", *(F.col(f"_{c}").alias(c) for c in RESULTS)).mapInArrow(
         _sum_up,
         f"doc_id {ids}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean",
     )
@@ -326,5 +333,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows and columns of ``docs`` in which no window of the benchmark occurs."""
-    found = find_benchmark_words(docs, benchmark, **settings)
-    return found.filter(F.coalesce(F.size("_starts"), F.lit(0)) <= 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+    renamed, back = set_aside(docs)
+    found = _with_hits(renamed, benchmark, **settings)
+    return found.filter(F.coalesce(F.size("starts"), F.lit(0)) <= 0).select(*back)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.calibration import fold_of
-from lexiloom.llm.words import longs, pieces
+from lexiloom.llm.words import longs, pieces, set_aside
 from lexiloom.session import stage
 
 FOLDS = 3
@@ -206,25 +206,29 @@ def _predict(weights: np.ndarray, model: list):
     return predict
 
 
+RESULTS = ("lang_pred", "score", "rejected")
+
+
 def predict_language(docs: DataFrame, known: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Every column of ``docs`` and ``_lang_pred``, ``_score``, ``_rejected``.
+    """Every column of ``docs`` and ``_lang_pred``, ``_score``, ``_rejected``; columns
+    that have these names already are replaced.
 
     ``known`` (doc_id, text, lang) is what is learned from; rows without a language
     are left out. A text that is null or has no letter is ``und`` with score 0 and
     rejected, and so is every text when nothing is known. A text of fewer than
     ``LEAST_LETTERS`` letters is never too far. A repeated row is predicted alike. Ties go to the first language in order. No rows give no rows.
     """
+    renamed, back = set_aside(docs.drop(*(f"_{c}" for c in RESULTS)))
+    found = _with_prediction(renamed, known, sample)
+    return found.select(*back, *(F.col(c).alias(f"_{c}") for c in RESULTS))
+
+
+def _with_prediction(renamed: DataFrame, known: DataFrame, sample: int) -> DataFrame:
     known = known.select("doc_id", "text", "lang").filter("lang IS NOT NULL")
     weights = gram_weights(known)
     model = learn_centroids(known, weights, sample)
-    kept = [c for c in docs.columns if c != "text"]
-    renamed = docs.select("text", *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
     shape = renamed.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
-    found = renamed.mapInArrow(_predict(weights, model), shape)
-    back = {c: f"c{i}" for i, c in enumerate(kept)} | {"text": "text"}
-    return found.select(
-        *(F.col(back[c]).alias(c) for c in docs.columns), *(F.col(c).alias(f"_{c}") for c in ("lang_pred", "score", "rejected"))
-    )
+    return renamed.mapInArrow(_predict(weights, model), shape)
 
 
 def learnable(docs: DataFrame) -> DataFrame:
@@ -247,5 +251,5 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 def with_known_language(docs: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` without those that the distance rejects."""
-    found = predict_language(docs, learnable(docs))
-    return found.filter("NOT _rejected").select(*(F.col(f"`{c}`") for c in docs.columns))
+    renamed, back = set_aside(docs)
+    return _with_prediction(renamed, learnable(docs), SAMPLE).filter("NOT rejected").select(*back)

@@ -53,8 +53,7 @@ def statistics() -> list[tuple[Column, float]]:
 def chi2_cdf(x: np.ndarray, degrees: int) -> np.ndarray:
     """Of the squared distance of normal vectors; by the trapezoid rule."""
     grid = np.linspace(0, 200, 400_001)
-    with np.errstate(divide="ignore"):
-        density = np.where(grid > 0, np.exp((degrees / 2 - 1) * np.log(grid) - grid / 2), 0.0)
+    density = np.exp((degrees / 2 - 1) * np.log(np.maximum(grid, 1e-12)) - grid / 2)
     total = np.concatenate([[0.0], np.cumsum((density[1:] + density[:-1]) / 2)])
     return np.interp(x, grid, total / total[-1])
 

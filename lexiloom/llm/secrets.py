@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.words import pieces
+from lexiloom.llm.words import pieces, set_aside
 
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
@@ -149,19 +149,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _with_spans(renamed: DataFrame) -> DataFrame:
+    shape = "array<struct<kind: string, start: int, end: int>>"
+    return renamed.mapInArrow(_scan, renamed.withColumn("spans", F.lit(None).cast(shape)).schema)
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """Every column of ``docs`` and ``_spans``: array of (kind, start, end), places
-    in code points, end exclusive, ordered by start and then by kind.
+    in code points, end exclusive, ordered by start and then by kind. A column that
+    has this name already is replaced.
 
     A null or empty text has no spans; equal rows have equal spans; no rows give
     no rows. Texts are handled one by one, so their length bounds the memory.
     """
-    kept = [c for c in docs.columns if c != "text"]
-    renamed = docs.select("text", *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
-    shape = "array<struct<kind: string, start: int, end: int>>"
-    found = renamed.mapInArrow(_scan, renamed.withColumn("spans", F.lit(None).cast(shape)).schema)
-    back = {c: f"c{i}" for i, c in enumerate(kept)} | {"text": "text"}
-    return found.select(*(F.col(back[c]).alias(c) for c in docs.columns), F.col("spans").alias("_spans"))
+    renamed, back = set_aside(docs.drop("_spans"))
+    return _with_spans(renamed).select(*back, F.col("spans").alias("_spans"))
 
 
 def written(spans: Column) -> Column:
@@ -208,9 +210,8 @@ def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by ``MASK``; ``n_chars``, where it is a
     column, is counted anew for texts that changed."""
-    found = find_secrets(docs)
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    shaped = found.select(row.alias("row"), "text", F.col("_spans").alias("spans"))
+    renamed, back = set_aside(docs)
+    shaped = _with_spans(renamed).select(F.struct(*back).alias("row"), "text", "spans")
     masked = shaped.mapInArrow(_mask, shaped.schema)
     columns = []
     for c in docs.columns:

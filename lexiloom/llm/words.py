@@ -14,6 +14,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Bytes of text handled at a time.
 PIECE = 4 * 1024 * 1024
@@ -181,6 +183,15 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             i = j
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with every column but ``text`` renamed to c0, c1, …, so that added
+    columns clash with none; and the expressions that give its columns back."""
+    others = [c for c in docs.columns if c != "text"]
+    renamed = docs.select("text", *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)))
+    place = {c: f"c{i}" for i, c in enumerate(others)} | {"text": "text"}
+    return renamed, [F.col(place[c]).alias(c) for c in docs.columns]
+
+
 def binaries(values: np.ndarray, first: np.ndarray) -> pa.Array:
     """``values[first[r]:first[r + 1]]`` of each row as bytes."""
     offsets = first.astype(np.int32) * values.dtype.itemsize
