@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text handled at a time.
-PIECE = 4 * 1024 * 1024
+PIECE = 2 * 1024 * 1024
 # Bytes hashed at a time; keeps the work arrays inside the cache.
 SEGMENT = 1 << 14
 
