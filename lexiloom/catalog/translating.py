@@ -217,6 +217,20 @@ def job_paq(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.pair_corpus(rows, path, NATIVE)
 
 
+def job_paq_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text once: first a slice without rows, then a run over all."""
+    path = new_folder(spark, "pairs")
+    rows = fixtures.pair_rows(spark, sf)
+    jobs.pair_corpus(rows, path, NATIVE, skip=10**9, distinct=True)
+    return jobs.pair_corpus(rows, path, NATIVE, distinct=True)
+
+
+def job_qqp_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text once, answers of one row and negatives of another included."""
+    rows = fixtures.triplet_rows(spark, sf)
+    return lists_as_json(jobs.triplet_corpus(rows, new_folder(spark, "triplets"), NATIVE, distinct=True))
+
+
 def run_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     """Each row's last outcome after a limited and an unlimited run."""
     path = new_folder(spark, "outcomes")
@@ -310,6 +324,8 @@ QUERIES = {
         job_cot,
         job_o1,
         job_paq,
+        job_paq_distinct,
+        job_qqp_distinct,
         job_qqp,
         stream_translate,
         stream_resume,
@@ -419,6 +435,8 @@ SELECT "index", CASE WHEN a IS NULL THEN 'quarantined' ELSE 'ok' END AS status,
     "job_o1": f"""WITH {REASONING}
 SELECT "index", {_reasoning(470)} FROM o1 WHERE response IS NOT NULL AND {_PASSES}""",
     "job_paq": f'WITH {PAIRS} SELECT "index", {_PAIR} FROM paq WHERE a IS NOT NULL',
+    "job_paq_distinct": f'WITH {PAIRS} SELECT "index", {_PAIR} FROM paq WHERE a IS NOT NULL',
+    "job_qqp_distinct": f'WITH {TRIPLETS} SELECT "index", {_TRIPLET} FROM qqp WHERE pos IS NOT NULL',
     "job_qqp": f'WITH {TRIPLETS} SELECT "index", {_TRIPLET} FROM qqp WHERE pos IS NOT NULL',
     "stream_translate": f"SELECT conv_id, turn, {translated('text')} AS translation FROM conversations",
     "stream_resume": "SELECT conv_id, turn FROM conversations",

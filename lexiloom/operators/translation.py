@@ -66,6 +66,31 @@ def _translate_row(df: DataFrame, texts: Column, engine: Engine, missing: Column
     ).drop("_missing")
 
 
+def _translate_row_once(df: DataFrame, texts: Column, engine: Engine, missing: Column, key: str) -> DataFrame:
+    """As ``_translate_row``, but each distinct text of all rows is translated once.
+
+    Texts are gathered over all fields and rows, and put back by ``key``, which is
+    unique, and their place in the row.
+    """
+    asked = df.withColumn("_missing", missing).withColumn("_asked", F.when(~missing, texts))
+    each = asked.select(key, F.posexplode("_asked").alias("_at", "text")).filter("text IS NOT NULL")
+    part = F.struct("_at", "translation", "reason")
+    parts = (
+        translate_distinct(each, "text", engine, key)
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(part)).alias("_parts"))
+    )
+    failed = F.filter(F.transform("_parts", lambda p: p["reason"]), lambda r: r.isNotNull())
+    by_place = F.map_from_entries(F.transform("_parts", lambda p: F.struct(p["_at"], p["translation"])))
+    told = F.transform("_asked", lambda _, i: F.try_element_at(by_place, i))
+    error = F.get(failed, F.lit(0))
+    result = F.struct(F.when(error.isNull(), told).alias("texts"), error.alias("error"))
+    return with_status(
+        asked.join(parts, key, "left").withColumn("_t", result),
+        F.when(F.col("_missing"), F.lit(MISSING)).otherwise(F.col("_t.error")),
+    ).drop("_missing", "_asked", "_parts")
+
+
 def translate_column(
     df: DataFrame, column: str, engine: Engine, output: str = "translation"
 ) -> DataFrame:
@@ -93,10 +118,15 @@ def triplet_fields(df: DataFrame) -> DataFrame:
     )
 
 
-def translate_pairs(df: DataFrame, engine: Engine) -> DataFrame:
+def translate_pairs(df: DataFrame, engine: Engine, distinct: bool = False) -> DataFrame:
+    """With ``distinct``, a text that many rows have is translated once."""
     fields = pair_fields(df)
     missing = F.col("Q_original").isNull() | F.col("A_original").isNull()
-    done = _translate_row(fields, F.array("Q_original", "A_original"), engine, missing)
+    texts = F.array("Q_original", "A_original")
+    if distinct:
+        done = _translate_row_once(fields, texts, engine, missing, "index")
+    else:
+        done = _translate_row(fields, texts, engine, missing)
     return done.withColumns(
         {
             "Q_traducida": F.get("_t.texts", F.lit(0)),
@@ -105,8 +135,11 @@ def translate_pairs(df: DataFrame, engine: Engine) -> DataFrame:
     ).drop("_t")
 
 
-def translate_triplets(df: DataFrame, engine: Engine) -> DataFrame:
-    """Query, positive and every negative; an empty list of negatives is fine."""
+def translate_triplets(df: DataFrame, engine: Engine, distinct: bool = False) -> DataFrame:
+    """Query, positive and every negative; an empty list of negatives is fine.
+
+    With ``distinct``, a text that many rows have is translated once.
+    """
     fields = triplet_fields(df)
     missing = (
         F.col("Q_original").isNull()
@@ -114,7 +147,10 @@ def translate_triplets(df: DataFrame, engine: Engine) -> DataFrame:
         | F.col("NEGs_original").isNull()
     )
     texts = F.concat(F.array("Q_original", "POS_original"), F.col("NEGs_original"))
-    done = _translate_row(fields, texts, engine, missing)
+    if distinct:
+        done = _translate_row_once(fields, texts, engine, missing, "index")
+    else:
+        done = _translate_row(fields, texts, engine, missing)
     rest = F.slice("_t.texts", F.lit(3), F.greatest(F.size("_t.texts") - 2, F.lit(0)))
     return done.withColumns(
         {

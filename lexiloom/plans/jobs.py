@@ -151,7 +151,7 @@ def _resumable(
     """
     spark = df.sparkSession
     todo = df if skip is None else indexing.slice_by_index(df, skip, max_rows, index)
-    schema = translate(df).withColumn("processed_at", F.current_timestamp()).schema
+    schema = translate(df.limit(0)).withColumn("processed_at", F.current_timestamp()).schema
     if writers.exists(spark, out):
         before = spark.read.schema(schema).parquet(out).filter(F.col("status") == translation.OK)
         todo = indexing.pending(todo, before, index)
@@ -170,18 +170,34 @@ def last_outcomes(written: DataFrame, index: str = "index") -> DataFrame:
 
 
 def pair_corpus(
-    df: DataFrame, out: str, engine: Engine, skip: int = 0, max_rows: int | None = None
+    df: DataFrame,
+    out: str,
+    engine: Engine,
+    skip: int = 0,
+    max_rows: int | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Question/answer pairs, resumable; returns the good rows in index order."""
-    rows = _resumable(df, out, lambda d: translation.translate_pairs(d, engine), skip, max_rows)
+    """Question/answer pairs, resumable; returns the good rows in index order.
+
+    With ``distinct``, each text of a run is translated once, however many rows have it.
+    """
+    rows = _resumable(df, out, lambda d: translation.translate_pairs(d, engine, distinct), skip, max_rows)
     return conform(translation.good_rows(rows), PAIR_COLUMNS).orderBy("index")
 
 
 def triplet_corpus(
-    df: DataFrame, out: str, engine: Engine, skip: int = 0, max_rows: int | None = None
+    df: DataFrame,
+    out: str,
+    engine: Engine,
+    skip: int = 0,
+    max_rows: int | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Query/positive/negatives rows, resumable; good rows in index order."""
-    rows = _resumable(df, out, lambda d: translation.translate_triplets(d, engine), skip, max_rows)
+    """Query/positive/negatives rows, resumable; good rows in index order.
+
+    With ``distinct``, each text of a run is translated once, however many rows have it.
+    """
+    rows = _resumable(df, out, lambda d: translation.translate_triplets(d, engine, distinct), skip, max_rows)
     return conform(translation.good_rows(rows), TRIPLET_COLUMNS).orderBy("index")
 
 

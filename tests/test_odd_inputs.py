@@ -90,6 +90,24 @@ def test_rows_without_a_text_are_kept_and_have_a_status(spark):
     assert sorted(map(tuple, found.collect())) == [(1, "el"), (2, None), (3, "")]
 
 
+def test_texts_translated_once_give_the_same_rows(spark):
+    class Picky:
+        def translate(self, texts):
+            if any("bad" in t for t in texts):
+                raise engines.RowRejected("bad text")
+            return [f"<{t}>" for t in texts]
+
+    engine = TranslatorEngine(Picky, on_error="quarantine", call_size=1)
+    pair = [(0, ["a", "b"]), (1, ["a", "a"]), (2, ["bad", "worse bad"]), (3, ["a"]), (4, None), (5, ["", "bad"])]
+    df = spark.createDataFrame(pair, "index bigint, set array<string>")
+    plain, once = (translation.translate_pairs(df, engine, distinct=d) for d in (False, True))
+    assert sorted(map(repr, once.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+    sets = [(0, ("a", ["b"], ["a", None, "c"])), (1, ("a", ["b"], [])), (2, ("a", [], ["c"])), (3, ("a", ["a"], ["bad"])), (4, None)]
+    df = spark.createDataFrame(sets, "index bigint, set struct<query: string, pos: array<string>, neg: array<string>>")
+    plain, once = (translation.translate_triplets(df, engine, distinct=d) for d in (False, True))
+    assert sorted(map(repr, once.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_a_second_run_adds_nothing(spark, folder):
     texts = spark.range(4).select(F.col("id").alias("index"), F.concat(F.lit("<b>the"), "id", F.lit("</b>")).alias("text"))
     for _ in range(2):
