@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,31 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# Folders made so far, in order; `staging` removes those made inside it.
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/lexiloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lexiloom/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Owns the tables staged inside it and removes them at its end.
+
+    A DataFrame made inside still reads them, so write its result before the end.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[before:]:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        del _made[before:]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

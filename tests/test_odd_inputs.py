@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lexiloom import session
 from lexiloom.functions import names
 from lexiloom.functions.vectors import batch_cosine
 from lexiloom.operators import detection, engines, export, indexing, pairs, translation
@@ -10,6 +11,7 @@ from lexiloom.operators.engines import Glossary, TranslatorEngine, WordSwap
 from lexiloom.plans import jobs
 from lexiloom.schemas import SCORED_PAIRS
 from lexiloom.sources import readers, writers
+from tests.test_runs import FakeSession
 
 NATIVE = Glossary({"the": "el"})
 
@@ -184,6 +186,21 @@ def test_many_files_are_numbered_without_moving_rows(spark, folder):
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(id" not in plan
 
 
+def test_staged_tables_go_with_their_owner(spark, folder):
+    before = session.stage(spark.range(3), "kept")
+    with session.staging(spark):
+        session.stage(spark.range(5), "dropped").write.parquet(f"{folder}/out")
+        (gone,) = session._made[-1:]
+    assert not writers.exists(spark, gone)
+    assert before.count() == 3 and spark.read.parquet(f"{folder}/out").count() == 5
+
+
+def test_only_a_session_on_this_machine_may_make_its_own_folder():
+    for master in ("local-cluster[2,1,1024]", "localhost:7077", "yarn"):
+        with pytest.raises(RuntimeError):
+            session.shared_folder(FakeSession(None, master))
+
+
 def test_outside_translator_of_nothing(spark):
     engine = TranslatorEngine(lambda: WordSwap({"the": "el"}))
     none = spark.createDataFrame([], "id int, text string")
