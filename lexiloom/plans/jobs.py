@@ -52,7 +52,7 @@ def clean_images(
 
 
 def sentence_similarity(
-    sentences: DataFrame, out: str, blocks_per_folder: int = 100, **options: int
+    sentences: DataFrame, out: str, blocks_per_folder: int = 10, **options: int
 ) -> DataFrame:
     """Sampled, scored, deduplicated pairs, written by batch; returns them.
 
