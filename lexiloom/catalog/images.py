@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.catalog import fixtures
@@ -117,27 +117,31 @@ def scan_jsonl(spark: SparkSession, sf: str) -> DataFrame:
 
 def scan_binary(spark: SparkSession, sf: str) -> DataFrame:
     """Every page as a file of its own, opened again and told by its digest."""
-    path = _page_files(spark, sf)
-    page = F.regexp_extract("path", r"page_id=(\d+)/[^/]*\z", 1).cast("bigint").alias("page_id")
-    return readers.scan_binary(spark, path, "part-*").select(page, "length", F.sha2("payload", 256).alias("sha256"))
+    files = readers.scan_binary(spark, _page_files(spark, sf), "part-*")
+    return files.select(_page_of("payload"), "length", F.sha2("payload", 256).alias("sha256"))
 
 
 def _page_files(spark: SparkSession, sf: str) -> str:
+    """A file per page in one folder: the page's id on the first line, then its text."""
     path = new_folder(spark, "page-files")
-    pages = fixtures.table(spark, sf, "pages").select("page_id", fixtures.planted(F.col("html")).alias("value"))
-    pages.write.partitionBy("page_id").text(path)
+    value = F.concat(F.col("page_id").cast("string"), F.lit("\n"), fixtures.planted(F.col("html")))
+    pages = fixtures.table(spark, sf, "pages").select(value.alias("value"))
+    pages.repartition(16).write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
+def _page_of(payload: str) -> Column:
+    return F.substring_index(F.col(payload).cast("string"), "\n", 1).cast("bigint").alias("page_id")
+
+
 def filter_by_path(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that name files, without those whose file has a Han letter.
 
     Every row names its own page's file and that of the page before it, in a
     different spelling.
     """
-    path = _page_files(spark, sf)
-    files = readers.scan_binary(spark, path, "part-*")
-    own = files.select(F.regexp_extract("path", r"page_id=(\d+)/[^/]*\z", 1).cast("bigint").alias("page_id"), "path")
+    files = readers.scan_binary(spark, _page_files(spark, sf), "part-*")
+    own = files.select(_page_of("payload"), "path")
     before = own.select((F.col("page_id") + 1).alias("page_id"), F.regexp_replace("path", "^file:/+", "/").alias("earlier"))
     rows = own.join(before, "page_id", "left").select("page_id", F.array_compact(F.array("path", "earlier")).alias("images"))
     return detection.without_detections_by_path(rows, files, "page_id", outside=HanPayload).select("page_id")
@@ -203,8 +207,8 @@ SELECT CAST(1 AS BIGINT) AS version, count(*) AS rows FROM flagged
 UNION ALL SELECT CAST(2 AS BIGINT), count(*) FROM flagged WHERE NOT detected""",
     "scan_split": "SELECT * FROM documents WHERE lang = 'es'",
     "scan_jsonl": "SELECT doc_id, lang, text FROM documents",
-    "scan_binary": f"""SELECT page_id, CAST(strlen({planted('html')}) + 1 AS BIGINT) AS length,
-  sha256({planted('html')} || chr(10)) AS sha256 FROM pages""",
+    "scan_binary": f"""SELECT page_id, CAST(strlen(page_id || chr(10) || {planted('html')}) + 1 AS BIGINT) AS length,
+  sha256(page_id || chr(10) || {planted('html')} || chr(10)) AS sha256 FROM pages""",
     "filter_by_path": f"""SELECT a.page_id FROM pages a LEFT JOIN pages b ON b.page_id = a.page_id - 1
 WHERE NOT contains({planted('a.html')}, '漢') AND NOT contains({planted("coalesce(b.html, '')")}, '漢')""",
     "job_k12": f"WITH {IMAGES} {_manifest('flagged')} AND NOT detected",
