@@ -35,8 +35,8 @@ LEAST_LETTERS = 100
 OWN_TEXTS = 0.01
 UNKNOWN = "und"
 # Texts whose vectors are in memory at a time, and their characters.
-TEXTS = 512
-CHARACTERS = 1 << 20
+TEXTS = 128
+CHARACTERS = 1 << 16
 
 _SPACE = 32
 _LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])

@@ -181,6 +181,8 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             j = max(i + 1, int(np.searchsorted(total, before + PIECE, side="right")))
             yield batch.slice(i, j - i)
             i = j
+        del batch
+        pa.default_memory_pool().release_unused()  # workers live on between stages
 
 
 def set_aside(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
