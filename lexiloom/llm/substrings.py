@@ -211,6 +211,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
         .groupBy("anchor", "run")
         .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("windows"))
     )
+    bits = stage(bits, "seed-bits")  # a table of its own, as above
     partly = mixed.join(bits, ["anchor", "run"]).select("k1", "k2", "start", "size", "windows")
     whole = hits.filter("NOT mixed").select("k1", "k2", "start", "size", F.lit(None).cast("bigint").alias("windows"))
     return (
