@@ -275,7 +275,8 @@ def _rest_pairs(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percen
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, k1, k2 (a key of the
-    row's id and text), n_shingles, component_id, kept.
+    row's id and text), n_shingles, component (a key of its own, null for texts
+    without words), component_id, kept.
 
     Documents whose sets of ``shingle``-word shingles have a similarity of
     ``percent`` or more are linked; ``component_id`` is the smallest id reachable.
@@ -323,25 +324,28 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         roots = components(links.union(confirmed(docs, classes, rest, shingle, percent)))
     rooted = stage(_with_roots(classes.select("class", "first_id"), roots), "roots")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = rooted.join(named, "root").select("class", "component_id")
+    of_class = rooted.join(named, "root").select("class", F.col("root").alias("component"), "component_id")
     rows = signed.select("doc_id", "k1", "k2", F.col("size").alias("n_shingles"), "class")
-    alone = rows.filter("n_shingles = 0").select("doc_id", "k1", "k2", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = rows.filter("n_shingles = 0").select(
+        "doc_id", "k1", "k2", "n_shingles", F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id")
+    )
     linked = rows.filter("n_shingles > 0").join(of_class, "class").select(*alone.columns)
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """The rows and columns of ``docs`` with one row of each component left: that
-    with the smallest id, and of equal ones any. Rows without words all stay."""
+    with the smallest id, and of equal ones any; one without an id only where none
+    has an id. Components are told apart by their own key, so ids may be repeated
+    or null. Rows without words all stay."""
     found = near_duplicates(docs, **settings)
-    worded = found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("at"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2"))
+    worded = found.filter("n_shingles > 0").groupBy("component").agg(first.alias("at"))
     empty = found.filter("n_shingles = 0").select("k1", "k2").distinct()
-    stays = stage(worded.filter("component_id IS NOT NULL").select("at.k1", "at.k2").union(empty), "stays")
-    # Components of rows without any id cannot be told apart by it: all stay.
-    stays = stays.union(found.filter("component_id IS NULL AND n_shingles > 0").select("k1", "k2").distinct())
+    stays = stage(worded.select("at.k1", "at.k2").union(empty), "stays")
     names = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(F.struct(*names).alias("_row"), *row_keys(docs))
-    kept = keyed.join(stays.distinct(), ["k1", "k2"])
+    kept = keyed.join(stays, ["k1", "k2"])
     wordless = F.coalesce(F.regexp_count(F.col("_row.text"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0
     place = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
     return kept.withColumn("_place", place).filter((F.col("_place") == 1) | wordless).select("_row.*")
