@@ -1,7 +1,8 @@
 """Robust multivariate outliers by minimum-covariance-determinant estimates.
 
 Documents of one language and source form a pool, pools under ``LEAST_ROWS`` join
-the rest of their language, and too small rests join each other. A pool's estimate
+the rest of their language, and too small rests join each other; where even those
+are too few, they are held against the estimate of the whole table. A pool's estimate
 starts from medians and quartiles; each concentration step takes the three quarters
 of its rows nearest by Mahalanobis distance and re-estimates mean and covariance
 from those, which never raises the determinant. All steps run over all rows of the small table of statistics: sums
@@ -21,10 +22,12 @@ from lexiloom.llm.statistics import count_documents
 from lexiloom.session import stage
 
 LEAST_ROWS = 200
+# The pool of all rows.
+WHOLE = "table"
 CORE = 0.75
 STEPS = 4
 # Share of regular documents kept, were the statistics normally distributed.
-KEEP = 0.999999
+KEEP = 0.999
 # Base rules.
 LEAST_WORDS = 20
 MOST_REPEATED = 30
@@ -89,8 +92,10 @@ def _invert(n: int, least: list[float], factor: float):
             cov = np.zeros((rows, n, n))
             for i, j in _pairs(n):
                 cov[:, i, j] = cov[:, j, i] = batch.column(f"q{i}_{j}").to_numpy() / count - mean[:, i] * mean[:, j]
-            cov = cov * factor + np.diag(np.square(least))
-            precision = np.linalg.inv(cov)
+            # In units of the least deviations no direction has a variance under 1.
+            units = np.array(least)
+            values, axes = np.linalg.eigh(cov * factor / np.outer(units, units))
+            precision = (axes / np.maximum(values, 1)[:, None, :]) @ axes.transpose(0, 2, 1) / np.outer(units, units)
             columns = {"pool": batch.column("pool")}
             columns |= {f"m{i}": pa.array(mean[:, i]) for i in range(n)}
             columns |= {f"p{i}_{j}": pa.array(precision[:, i, j]) for i, j in _pairs(n)}
@@ -135,7 +140,8 @@ def fit(rows: DataFrame, least: list[float], core: float = CORE, steps: int = ST
 
 def pools(rows: DataFrame, least_rows: int) -> DataFrame:
     """(group, pool): every (lang, source) group of ``rows`` and the pool it is in.
-    Groups without a pool of ``least_rows`` rows are left out."""
+    Groups without a pool of ``least_rows`` rows have the pool ``WHOLE``, and are
+    left out where not even the whole table has so many."""
     counts = rows.groupBy("group", "lang_key").agg(F.count(F.lit(1)).alias("n"))
     small = counts.filter(F.col("n") < least_rows)
     rest = small.groupBy("lang_key").agg(F.sum("n").alias("m"))
@@ -143,8 +149,9 @@ def pools(rows: DataFrame, least_rows: int) -> DataFrame:
     own = counts.filter(F.col("n") >= least_rows).select("group", F.concat(F.lit("group "), "group").alias("pool"))
     by_lang = joined.filter(F.col("m") >= least_rows).select("group", F.concat(F.lit("language "), "lang_key").alias("pool"))
     last = joined.filter(F.col("m") < least_rows)
-    enough = last.agg(F.sum("n").alias("all")).filter(F.col("all") >= least_rows)
-    by_rest = last.join(enough, F.lit(True)).select("group", F.lit("rest").alias("pool"))
+    sums = last.agg(F.sum("n").alias("left")).join(counts.agg(F.sum("n").alias("all")), F.lit(True))
+    pool = F.when(F.col("left") >= least_rows, F.lit("rest")).otherwise(F.lit(WHOLE))
+    by_rest = last.join(sums.filter(F.col("all") >= least_rows), F.lit(True)).select("group", pool.alias("pool"))
     return own.unionByName(by_lang).unionByName(by_rest)
 
 
@@ -155,7 +162,7 @@ def robust_outliers(docs: DataFrame, least_rows: int = LEAST_ROWS, keep: float =
 
     Estimates are made from rows that pass the base rules. A null text has no
     words and fails them; a null language or source is a value of its own; where
-    even all small groups together have too few rows, only the base rules decide;
+    the whole table has too few rows for an estimate, only the base rules decide;
     repeated rows count as often as they come; no rows give no rows.
     """
     listed = statistics()
@@ -176,7 +183,10 @@ def robust_outliers(docs: DataFrame, least_rows: int = LEAST_ROWS, keep: float =
     rows = stage(rows, "statistics")
     regular = rows.filter(~F.col("base_failed"))
     assigned = stage(pools(regular, least_rows), "pools")
-    params = fit(regular.join(assigned, "group").select("pool", *_names(n)), [s for _, s in listed])
+    pooled = regular.join(assigned.filter(F.col("pool") != WHOLE), "group").select("pool", *_names(n))
+    if not assigned.filter(F.col("pool") == WHOLE).isEmpty():
+        pooled = pooled.unionByName(regular.select(F.lit(WHOLE).alias("pool"), *_names(n)))
+    params = fit(pooled, [s for _, s in listed])
     of_group = stage(assigned.join(params, "pool"), "group-estimates")
     distance = rows.join(of_group, "group", "left").withColumn("distance", _distance(n))
     near = F.coalesce(F.col("distance") <= chi2_quantile(keep, n), F.lit(True))
