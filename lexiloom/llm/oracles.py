@@ -116,9 +116,90 @@ named AS (SELECT r.a AS rid, min(d.doc_id) AS component_id FROM reach r JOIN doc
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id IS NOT DISTINCT FROM c.component_id AS kept
 FROM docs d JOIN named c ON d.rid = c.rid LEFT JOIN sizes s ON d.rid = s.rid"""
 
+# CRC-32 of a text of ASCII characters: eight shifts for each of them.
+SHIFTS = "list_reduce([{start}, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, (a & 1) * 3988292384))"
+
+
+def crc32(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    step = SHIFTS.format(start="xor(crc, code)")
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda crc, code: {step}), 4294967295)"
+
+
+TRIE = f"""WITH turns AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+    strlen(coalesce(text, '')) AS bytes, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT conv_id, digest, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place
+  FROM turns),
+sizes AS (
+  SELECT conv_id, count(*) AS size, {crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM placed GROUP BY conv_id),
+known AS (
+  SELECT s.conv_id, s.size, s.h, least(s.h, coalesce(l.size, 0)) AS head, s.conv_id - s.conv_id % 5 AS lender
+  FROM sizes s LEFT JOIN sizes l ON l.conv_id = s.conv_id - s.conv_id % 5),
+rebuilt AS (
+  SELECT k.conv_id, p.place AS depth, p.digest, p.bytes FROM known k JOIN placed p ON p.conv_id = k.lender AND p.place <= k.head
+  UNION ALL
+  SELECT k.conv_id, p.place - k.h + k.head, p.digest, p.bytes FROM known k JOIN placed p ON p.conv_id = k.conv_id AND p.place > k.h),
+paths AS (
+  SELECT conv_id, depth, bytes, md5(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS name FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM known),
+linked AS (
+  SELECT c.*, p.name AS parent, c.depth = max(c.depth) OVER (PARTITION BY c.conv_id) AS is_end
+  FROM paths c LEFT JOIN paths p ON p.conv_id = c.conv_id AND p.depth = c.depth - 1),
+nodes AS (
+  SELECT name, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM linked GROUP BY name, depth),
+born AS (SELECT parent AS name, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+above AS (
+  SELECT n.name, n.saved, b.name IS NULL AS is_leaf, p.name AS top
+  FROM nodes n LEFT JOIN born b ON b.name = n.name JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth),
+totals AS (
+  SELECT top AS name, count(*) FILTER (WHERE is_leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY top)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(b.n_children, 0) AS n_children,
+  t.n_leaves, CAST(t.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals t ON t.name = n.name LEFT JOIN born b ON b.name = n.name LEFT JOIN nodes p ON p.name = n.parent"""
+
+
+def _clusters() -> str:
+    near = """SELECT rid, arg_min(cluster, (apart, cluster)) AS cluster, CAST(min(apart) AS BIGINT) AS distance FROM (
+    SELECT v.rid, c.cluster, list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, c.x) + list_inner_product(c.x, c.x) AS apart
+    FROM vectors v, {centroids} c) GROUP BY rid"""
+    steps = []
+    for r in range(5):
+        steps.append(f"""near{r} AS MATERIALIZED ({near.format(centroids=f"centroids{r}")}),
+centroids{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.x, c.x) AS x FROM centroids{r} c LEFT JOIN (
+    SELECT cluster, list(floor(total / many) ORDER BY place) AS x FROM (
+      SELECT cluster, place, sum(value) AS total, count(*) AS many
+      FROM near{r} JOIN (SELECT rid, unnest(x) AS value, generate_subscripts(x, 1) AS place FROM vectors) USING (rid)
+      GROUP BY cluster, place) GROUP BY cluster) m USING (cluster))""")
+    between = ",\n".join(steps)
+    return f"""WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64),
+centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), rid) - 1 AS cluster, x
+  FROM vectors QUALIFY cluster < 40),
+{between},
+labels AS MATERIALIZED ({near.format(centroids="centroids5")}),
+named AS (
+  SELECT cluster, sha256(array_to_string(list_transform(x, lambda e: CAST(CAST(e AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+  FROM centroids5)
+SELECT v.vec_id, CAST(l.cluster AS INTEGER) AS cluster, l.distance,
+  CAST(sum(l.distance) OVER (PARTITION BY l.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(l.distance) OVER () AS BIGINT) AS inertia, n.centroid_sha256
+FROM labels l JOIN vectors v USING (rid) JOIN named n USING (cluster)"""
+
+
 SQL = {
     "op2_substring_dedup": SUBSTRINGS,
     "op4_near_dedup": NEAR_DUPLICATES,
     "op5_benchmark_decontamination": DECONTAMINATION,
     "op9_source_mixing": MIXING,
+    "op12_prefix_trie": TRIE,
+    "op13_centroid_clustering": _clusters(),
 }

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiloom.llm import decontaminate, html, language, mixing, near_dedup, outliers, quality, secrets, substrings, toxicity
+from lexiloom.llm import (
+    clusters, decontaminate, html, language, mixing, near_dedup, outliers, packing, quality, secrets, substrings, toxicity, tries,
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -54,6 +57,21 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract_text(table(spark, sf, "pages"))
 
 
+def op11_cost_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, sf, "conversations"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.cluster_vectors(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op2_substring_dedup": op2_substring_dedup,
@@ -65,4 +83,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_source_mixing": op9_source_mixing,
     "op10_html_extraction": op10_html_extraction,
+    "op11_cost_packing": op11_cost_packing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
