@@ -34,7 +34,8 @@ def plain(value):
         return None
     value = value.item() if hasattr(value, "item") else value
     if isinstance(value, float):
-        return None if math.isnan(value) else value
+        # pandas holds whole numbers with a null among them as floats.
+        return None if math.isnan(value) else int(value) if value.is_integer() else value
     return value
 
 
