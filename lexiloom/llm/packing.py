@@ -15,12 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiloom.llm.words import pieces
+from lexiloom.llm.words import LOWER, bytes_of, pieces, spans
 
 SIZE = 2048
 # Sequences of a full cell.
@@ -30,50 +29,97 @@ END = 1
 # Width of the model that costs are estimated for: attention over n tokens costs
 # n / (6 * HIDDEN) of what the layers' products cost for them.
 HIDDEN = 1024
-# Words whose ids are remembered, and the longest of them.
-KNOWN = 200_000
-LONGEST = 64
+# Parts of words whose ids are remembered, and the longest of them in bytes.
+KNOWN = 800_000
+LONGEST = 32
+
+# Kinds of bytes: white space, small letters, digits, marks, and what is left alone.
+SPACE, LETTER, DIGIT, MARK, OTHER = range(5)
+KIND = np.full(256, OTHER, np.uint8)
+KIND[33:127] = MARK
+KIND[ord("a") : ord("z") + 1] = LETTER
+KIND[ord("0") : ord("9") + 1] = DIGIT
+KIND[ord("'")] = OTHER
+KIND[[*range(9, 14), 32]] = SPACE
+# Kinds of two neighbours between which every text is cut.
+CUT = np.zeros((5, 5), bool)
+CUT[SPACE] = True
+CUT[LETTER, [DIGIT, MARK]] = CUT[DIGIT, [LETTER, DIGIT, MARK]] = CUT[MARK, [LETTER, DIGIT]] = True
 
 
 class Vocabulary:
-    """A public tokenizer that takes each distinct word of a batch once.
+    """A public tokenizer that takes each distinct part of a batch's words once.
 
-    Its rules never join characters across ASCII white space, so the ids of a
-    text are those of its words one after another.
+    It ignores case, and never joins characters across white space or across the
+    edge of a run of ASCII letters, digits or marks; parts are cut there and only
+    there. Around apostrophes and other characters words are left whole, and
+    words with a ``|`` entirely, for the names of special ids are written so.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def _of_words(self, words: list[str]) -> list[np.ndarray]:
+        (self.bar,) = self.tokenizer.encode("|", add_special_tokens=False).ids
+        self.known: dict[bytes, bytes] = {}
+
+    def _new(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of parts without a bar, all taken as one text with bars between."""
+        joined = b" | ".join(parts).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+        edges = np.flatnonzero(ids == self.bar).tolist()
+        return [ids[i + 1 : j].tobytes() for i, j in zip([-1, *edges], [*edges, len(ids)])]
+
+    def _of_parts(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part as bytes."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        missing = [w for w in words if w not in self.known]
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        new = {w: np.array(e.ids, np.uint32) for w, e in zip(missing, found)}
-        out = [new[w] if w in new else self.known[w] for w in words]
-        if len(self.known) + len(new) > KNOWN:
+        out = list(map(self.known.get, parts))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if len(self.known) + len(missing) > KNOWN:
             self.known.clear()
-        self.known.update((w, ids) for w, ids in new.items() if len(w) <= LONGEST)
+        plain = [i for i in missing if b"|" not in parts[i]]
+        for i, ids in zip(plain, self._new([parts[i] for i in plain]) if plain else ()):
+            out[i] = ids
+            if len(parts[i]) <= LONGEST:
+                self.known[parts[i]] = ids
+        for i in set(missing) - set(plain):
+            out[i] = np.array(self.tokenizer.encode(parts[i].decode(), add_special_tokens=False).ids, np.uint32).tobytes()
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, and where each row's ids start; a null row has none."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        coded = split.flatten().dictionary_encode()
-        first = split.offsets.to_numpy().astype(np.int64)
-        tables = self._of_words(coded.dictionary.to_pylist())
-        if not tables:
+        data, offsets = bytes_of(texts)
+        small = LOWER[data]
+        kind = KIND[small]
+        if len(bars := np.flatnonzero(data == ord("|"))):
+            start, end = spans(kind != SPACE, offsets)
+            for word in np.unique(np.searchsorted(start, bars, side="right") - 1):
+                small[start[word] : end[word]] = data[start[word] : end[word]]
+                kind[start[word] : end[word]] = OTHER
+        inside = kind != SPACE
+        begins = inside.copy()
+        begins[1:] &= CUT.ravel()[kind[:-1] * np.uint8(5) + kind[1:]]
+        heads = offsets[:-1][offsets[:-1] < len(data)]
+        begins[heads] = inside[heads]
+        begin = np.flatnonzero(begins)
+        if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        lengths = np.array([len(t) for t in tables], np.int64)
-        flat, begin = np.concatenate(tables), np.cumsum(lengths) - lengths
-        word = coded.indices.to_numpy()
-        many = lengths[word]
+        letters = small[inside]
+        # White space only lies before parts, so each part begins as many bytes
+        # earlier as there is white space before it.
+        edges = np.append(begin - np.cumsum(~inside, dtype=np.int32)[begin], len(letters))
+        parts = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(edges), pa.py_buffer(letters)])
+        coded = parts.dictionary_encode()
+        _, places, content = coded.dictionary.buffers()
+        places, content = np.frombuffer(places, np.int64, len(coded.dictionary) + 1).tolist(), content.to_pybytes()
+        tables = self._of_parts([content[i:j] for i, j in zip(places, places[1:])])
+        flat = np.frombuffer(b"".join(tables), np.uint32)
+        lengths = np.fromiter(map(len, tables), np.int64, len(tables)) // 4
+        part = coded.indices.to_numpy()
+        many = lengths[part]
         ends = np.concatenate([[0], np.cumsum(many)])
-        ids = flat[np.repeat(begin[word] - ends[:-1], many) + np.arange(ends[-1])]
-        return ids, ends[first - first[0]]
+        ids = flat[np.repeat((np.cumsum(lengths) - lengths)[part] - ends[:-1], many) + np.arange(ends[-1])]
+        return ids, ends[np.searchsorted(begin, offsets)]
 
 
 def capacities(tokens: int, size: int) -> np.ndarray:

@@ -8,7 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -17,6 +20,7 @@ from tests.llm.conftest import SF
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 TURN = "conv_id long, turn long, role string, text string"
+VOCABULARY = packing.Vocabulary(WORDS)
 VECTOR = "vec_id long, embedding array<float>"
 
 
@@ -89,13 +93,18 @@ def test_cells_are_balanced_and_cut_little():
 
 
 def test_words_are_taken_as_whole_texts_are():
-    odd = ["<|endoftext|>x <|startoftext|> ΣΑΣ Σ", "x ́y\x1cz\x85w", "İ's don't  's", "\t\n\x0b\x0c\r a", "漢字 ｆｕｌｌ　w", "a​b é é", "z" * 5000]
-    import pyarrow as pa
-
+    odd = ["<|ENDOFTEXT|> ABC. a<|endoftext|>.b1 || |", "a1.b-22(x)≠=\u0338 <\u0338 A\u0301. 'Sure x.'s I\u0307t 'LLama", "<|endoftext|>x <|startoftext|> ΣΑΣ Σ", "x ́y\x1cz\x85w", "İ's don't  's", "\t\n\x0b\x0c\r a", "漢字 ｆｕｌｌ　w", "a​b é é", "z" * 5000]
     ids, first = packing.Vocabulary(WORDS).encode(pa.array([*odd, None, ""]))
     assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [plain_ids(t)[:-1] for t in [*odd, None, ""]]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("aZsT'09.,-|<>= \n\u0301\u0307\u0338é≠İßΣ“½\u200b\x1c\x85\x00"), st.characters(codec="utf-8")), max_size=25), max_size=4))
+def test_any_text_has_its_own_ids(texts):
+    ids, first = VOCABULARY.encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [plain_ids(t)[:-1] for t in texts]
+
+
 def plain_trie(rows):
     turns = defaultdict(list)
     for conv, turn, role, text in rows:
