@@ -30,7 +30,9 @@ from lexiloom.plans import jobs
 from lexiloom.schemas import PAIR_COLUMNS, REASONING_COLUMNS, TRIPLET_COLUMNS, conform, lists_as_json
 from lexiloom.session import new_folder
 from lexiloom.sources import readers
+from lexiloom.streaming.flushes import flush_batches, flush_every, forget_commit, read_flushes
 from lexiloom.streaming.incremental import follow, run_to_end
+from lexiloom.streaming.ordered import gap_free, in_order
 
 NATIVE = Glossary(GLOSSARY)
 OUTSIDE = TranslatorEngine(partial(WordSwap, GLOSSARY))
@@ -53,6 +55,18 @@ class FailsAtFirst(WordSwap):
         return super().translate(texts)
 
 
+class Paced(WordSwap):
+    """A limited translator that takes a second for each word, by its own clock."""
+
+    def __init__(self) -> None:
+        super().__init__(GLOSSARY, MAX_WORDS)
+        self.now = 0.0
+
+    def translate(self, texts: list[str]) -> list[str]:
+        self.now += sum(len(text.split(" ")) for text in texts)
+        return super().translate(texts)
+
+
 def _patient() -> Retrying:
     return Retrying(FailsAtFirst(), attempts=3, first_delay=0.01)
 
@@ -186,6 +200,15 @@ def run_audit(spark: SparkSession, sf: str) -> DataFrame:
     return translation.audit_summary(done)
 
 
+def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Each row's two lines, by a clock that goes on with the words translated."""
+    engine = TranslatorEngine(Paced, on_error="quarantine", clock=lambda translator: translator.now)
+    rows = fixtures.turns(spark, sf).select("index", F.array("text", F.col("role")).alias("set"))
+    lines = translation.run_log(translation.translate_pairs(rows, engine))
+    # Of a rejected row both texts were tried once more, one by one.
+    return lines.select("index", "delta", "waited", "event")
+
+
 def normalize_columns(spark: SparkSession, sf: str) -> DataFrame:
     return readers.normalize_columns(fixtures.reasoning_sources(spark, sf)[1])
 
@@ -293,6 +316,65 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out")
 
 
+# Ordinals of a state in ``stream_ordered``, small so that there are many of them.
+RANGE_ROWS = 200
+
+
+def stream_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns that arrive out of order leave in order, half of them in a second run.
+
+    ``run`` tells in which of both a turn left: in the first only those before the
+    first gap of their range.
+    """
+    path = new_folder(spark, "stream")
+    place = F.md5(F.col("index").cast("string"))
+    late = F.conv(F.substring(place, 1, 8), 16, 10).cast("bigint") % 2 == 1
+    turns = fixtures.turns(spark, sf)
+    for run, arrived in enumerate((~late, late), 1):
+        turns.filter(arrived).repartitionByRange(6, place).sortWithinPartitions(place).write.mode("append").parquet(f"{path}/in")
+        run_to_end(
+            follow(spark, f"{path}/in", f"index BIGINT, {TURN_SCHEMA}", files_per_trigger=3),
+            lambda stream: in_order(stream, range_rows=RANGE_ROWS).withColumn("run", F.lit(run)),  # noqa: B023
+            f"{path}/out",
+            f"{path}/checkpoint",
+        )
+    left = gap_free(spark.read.parquet(f"{path}/out"), range_rows=RANGE_ROWS)
+    return left.select("index", "conv_id", "turn", NATIVE.text(F.col("text")).alias("translation"), "run")
+
+
+def stream_every(spark: SparkSession, sf: str) -> DataFrame:
+    """Flushes by time; beside each row, how many rows of its flush are in the log."""
+    path = new_folder(spark, "stream")
+    said = fixtures.table(spark, sf, "conversations")
+    said.repartition(4, "conv_id").write.parquet(f"{path}/in")
+    log = flush_every(
+        follow(spark, f"{path}/in", TURN_SCHEMA, files_per_trigger=1),
+        _translate_turns,
+        f"{path}/out",
+        f"{path}/checkpoint",
+        f"{path}/log",
+        "500 milliseconds",
+    )
+    rows = read_flushes(spark, f"{path}/out", "conv_id BIGINT, turn BIGINT, translation STRING")
+    counts = rows.groupBy("batch").agg(F.count(F.lit(1)).alias("written"))
+    both = log.join(counts, log["flush"] == counts["batch"], "full_outer")
+    logged, agreed = both.agg(F.sum("rows"), F.every(F.col("rows").eqNullSafe(F.col("written")))).first()
+    return rows.drop("batch").withColumns({"logged": F.lit(logged), "agreed": F.lit(agreed)})
+
+
+def stream_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch is played twice, as after a failure between its output and its commit."""
+    path = new_folder(spark, "stream")
+    said = fixtures.table(spark, sf, "conversations")
+    said.repartition(4, "conv_id").write.parquet(f"{path}/in")
+    stream = follow(spark, f"{path}/in", TURN_SCHEMA, files_per_trigger=2)
+    for _ in range(2):
+        flush_batches(stream, _translate_turns, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+        forget_commit(spark, f"{path}/checkpoint", 1)
+    rows = read_flushes(spark, f"{path}/out", "conv_id BIGINT, turn BIGINT, translation STRING")
+    return rows.drop("batch")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -319,6 +401,7 @@ QUERIES = {
         quarantine,
         run_audit,
         run_outcomes,
+        run_log,
         normalize_columns,
         union_sources,
         job_cot,
@@ -330,6 +413,9 @@ QUERIES = {
         stream_translate,
         stream_resume,
         stream_append,
+        stream_ordered,
+        stream_every,
+        stream_batches,
     )
 }
 
@@ -429,6 +515,13 @@ FROM judged GROUP BY 1, 2""",
     "run_outcomes": f"""WITH {PAIRS}
 SELECT "index", CASE WHEN a IS NULL THEN 'quarantined' ELSE 'ok' END AS status,
   CASE WHEN a IS NULL THEN '{MISSING}' END AS reason FROM paq""",
+    "run_log": f"""WITH {TURNS},
+timed AS (
+  SELECT "index", len(string_split(text, ' ')) AS words, len(string_split(role, ' ')) AS others,
+    {too_long("text")} OR {too_long("role")} AS rejected, text IS NULL OR role IS NULL AS missing FROM conv)
+SELECT "index", 0.0 AS delta, 0.0 AS waited, 'picked up' AS event FROM timed
+UNION ALL SELECT "index", CASE WHEN missing THEN 0 WHEN rejected THEN 2 * (words + others) ELSE words + others END::DOUBLE, 0.0,
+  CASE WHEN missing THEN 'quarantined: {MISSING}' WHEN rejected THEN 'quarantined: {REJECTED}' ELSE 'done' END FROM timed""",
     "normalize_columns": f'WITH {REASONING} SELECT "index", prompt, response FROM o1 WHERE NOT opening',
     "union_sources": f'WITH {REASONING} SELECT "index", prompt, response FROM o1',
     "job_cot": _MARKUP.replace("AS translation", "AS translation, 'ok' AS status"),
@@ -441,4 +534,13 @@ SELECT "index", {_reasoning(470)} FROM o1 WHERE response IS NOT NULL AND {_PASSE
     "stream_translate": f"SELECT conv_id, turn, {translated('text')} AS translation FROM conversations",
     "stream_resume": "SELECT conv_id, turn FROM conversations",
     "stream_append": "SELECT conv_id, turn, role FROM conversations",
+    "stream_ordered": f"""WITH {TURNS},
+arrived AS (SELECT *, ('0x' || substr(md5(CAST("index" AS VARCHAR)), 1, 8))::BIGINT % 2 = 1 AS late FROM conv),
+gaps AS (SELECT "index" // {RANGE_ROWS} AS part, min("index") AS gap FROM arrived WHERE late GROUP BY 1)
+SELECT "index", conv_id, turn, {translated("text")} AS translation,
+  CASE WHEN gap IS NULL OR "index" < gap THEN 1 ELSE 2 END AS run
+FROM arrived LEFT JOIN gaps ON part = "index" // {RANGE_ROWS}""",
+    "stream_every": f"""SELECT conv_id, turn, {translated("text")} AS translation,
+  CAST(count(*) OVER () AS BIGINT) AS logged, true AS agreed FROM conversations""",
+    "stream_batches": f"SELECT conv_id, turn, {translated('text')} AS translation FROM conversations",
 }

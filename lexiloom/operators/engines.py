@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESULT = T.StructType().add("texts", T.ArrayType(T.StringType())).add("error", T.StringType())
+# With a clock: when the row was taken up and left, and the wait since the row before.
+TIMED = T.StructType([*RESULT.fields]).add("started", "double").add("ended", "double").add("waited", "double")
 
 # A literal map is searched entry by entry, so larger ones go to Python instead.
 LITERAL_GLOSSARY = 256
@@ -143,6 +145,9 @@ class TranslatorEngine:
     ``on_error="fail"`` stops the job at the first error; ``"quarantine"``
     reports it in ``error`` for the rows concerned and goes on. Spark may run a
     task again, so a translator must give the same answer when asked twice.
+
+    With a ``clock`` (of the translator, in seconds; ``wall_clock``) each row is a
+    call of its own, and the result also tells when it began and ended.
     """
 
     def __init__(
@@ -150,15 +155,19 @@ class TranslatorEngine:
         factory: Callable[[], Translator],
         on_error: str = "fail",
         call_size: int = 256,
+        clock: Callable[[Translator], float] | None = None,
     ):
         if on_error not in ("fail", "quarantine"):
             raise ValueError("on_error is 'fail' or 'quarantine'")
         self.factory = factory
         self.isolate = on_error == "quarantine"
         self.call_size = call_size
+        self.clock = clock
 
     def __call__(self, texts: Column) -> Column:
         factory, isolate, call_size = self.factory, self.isolate, self.call_size
+        if self.clock:
+            return _timed(factory, isolate, call_size, self.clock).asNondeterministic()(texts)
 
         @F.pandas_udf(RESULT)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -174,6 +183,33 @@ class TranslatorEngine:
         return run.asNondeterministic()(texts)
 
 
+def wall_clock(translator: Translator) -> float:
+    return time.time()
+
+
+def _timed(factory: Callable[[], Translator], isolate: bool, call_size: int, clock: Callable[[Translator], float]):
+    """Row by row, with the times; the wait is counted inside a partition."""
+
+    @F.pandas_udf(TIMED)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        translator, last = factory(), None
+        for rows in batches:
+            told, times = [], []
+            for row in rows:
+                started = clock(translator)
+                wanted = dict.fromkeys(text for text in (row if row is not None else ()) if text is not None)
+                done, failed = _translate_texts(translator, list(wanted), call_size, isolate)
+                ended = clock(translator)
+                told.append(_collect([row], done, failed))
+                times.append((started, ended, 0.0 if last is None else started - last))
+                last = ended
+            columns = pd.DataFrame(times, columns=["started", "ended", "waited"], dtype="float64")
+            texts = pd.concat(told, ignore_index=True) if told else _collect([], {}, {})
+            yield pd.concat([texts, columns], axis=1)
+
+    return run
+
+
 def _collect(
     rows: Sequence[Sequence[str | None] | None], done: dict[str, str], failed: dict[str, str]
 ) -> pd.DataFrame:

@@ -28,6 +28,9 @@ from lexiloom.session import stage
 OK = "ok"
 QUARANTINED = "quarantined"
 MISSING = "missing field"
+# What an engine with a clock adds to each row, in seconds.
+TIMES = ("started", "ended", "waited")
+PICKED_UP, DONE = "picked up", "done"
 
 # Markup names around the parts of a response.
 THOUGHT_TAG = "Thought"
@@ -57,13 +60,34 @@ def audit_summary(df: DataFrame) -> DataFrame:
     return df.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def run_log(done: DataFrame, index: str = "index") -> DataFrame:
+    """(index, time, delta, waited, event): two lines for each row an engine with a
+    clock has handled, when it was taken up and what became of it.
+
+    ``delta`` is the seconds since it was taken up, ``waited`` those between the row
+    before it in its task and itself.
+    """
+    outcome = F.when(F.col("status") == OK, F.lit(DONE)).otherwise(F.concat_ws(": ", F.lit(QUARANTINED), "reason"))
+    moment = F.timestamp_micros((F.col("line.at") * 1_000_000).cast("bigint"))
+    lines = F.explode(
+        F.array(
+            F.struct(F.col("started").alias("at"), F.lit(0.0).alias("delta"), F.lit(PICKED_UP).alias("event")),
+            F.struct(F.col("ended").alias("at"), (F.col("ended") - F.col("started")).alias("delta"), outcome.alias("event")),
+        )
+    )
+    return done.select(index, "waited", lines.alias("line")).select(
+        index, moment.alias("time"), "line.delta", "waited", "line.event"
+    )
+
+
 def _translate_row(df: DataFrame, texts: Column, engine: Engine, missing: Column) -> DataFrame:
     """Adds ``_t``, the engine's result, for rows whose fields are all there."""
     asked = F.when(~missing, texts)
-    return with_status(
-        df.withColumn("_missing", missing).withColumn("_t", engine(asked)),
-        F.when(F.col("_missing"), F.lit(MISSING)).otherwise(F.col("_t.error")),
-    ).drop("_missing")
+    told = df.withColumn("_missing", missing).withColumn("_t", engine(asked))
+    if getattr(engine, "clock", None):
+        told = told.withColumns({name: F.col(f"_t.{name}") for name in TIMES})
+    reason = F.when(F.col("_missing"), F.lit(MISSING)).otherwise(F.col("_t.error"))
+    return with_status(told, reason).drop("_missing")
 
 
 def _translate_row_once(df: DataFrame, texts: Column, engine: Engine, missing: Column, key: str) -> DataFrame:
@@ -215,6 +239,7 @@ def translate_reasoning(df: DataFrame, engine: Engine, limit: int = WORD_LIMIT)
         F.col("response").alias("original_response"),
         "status",
         "reason",
+        *[c for c in TIMES if c in done.columns],
     )
 
 
