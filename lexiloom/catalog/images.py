@@ -91,12 +91,13 @@ def write_guard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish(spark: SparkSession, sf: str) -> DataFrame:
-    """Two versions, with the rows of each."""
+    """Two versions, with the rows of each: two tables, published by their files."""
     path = new_folder(spark, "published")
     rows = fixtures.image_rows(spark, sf)
-    return writers.publish(rows, path).union(
-        writers.publish(detection.without_detections(rows), path)
-    )
+    writers.write_table(rows, f"{path}/all")
+    writers.write_table(detection.without_detections(rows), f"{path}/clean")
+    versions = [writers.publish_table(spark, f"{path}/{name}", f"{path}/versions") for name in ("all", "clean")]
+    return versions[0].union(versions[1])
 
 
 def scan_split(spark: SparkSession, sf: str) -> DataFrame:

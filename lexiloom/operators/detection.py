@@ -18,6 +18,10 @@ NativeDetector = Callable[[Column], Column]
 DetectorFactory = Callable[[], Callable[[bytes], bool]]
 
 
+# Outcomes of a row.
+KEPT, DROPPED, NO_LIST = "kept", "dropped", "without_list"
+
+
 class Unreadable(Exception):
     """What a detector raises for a payload it cannot open; anything else stops the job."""
 
@@ -87,6 +91,32 @@ def flag_detections(
     return _require_images(df, images).withColumn("detected", hit)
 
 
+def with_outcome(
+    df: DataFrame,
+    images: str = "images",
+    native: NativeDetector = han_payload,
+    outside: DetectorFactory | None = None,
+    name: str = "outcome",
+) -> DataFrame:
+    """All rows with what becomes of them: kept, dropped for a hit, or without a list."""
+    if images not in df.columns:
+        raise ValueError(f"no column {images!r} to look into")
+    hit = outside_detector(outside)(F.col(images)) if outside else any_detected(F.col(images), native)
+    told = F.when(F.col(images).isNull(), F.lit(NO_LIST)).when(F.col("_hit"), F.lit(DROPPED)).otherwise(F.lit(KEPT))
+    return df.withColumn("_hit", hit).withColumn(name, told).drop("_hit")
+
+
+def outcome_counts(outcome: str = "outcome") -> list[Column]:
+    """Aggregates for ``DataFrame.observe`` over rows with an outcome."""
+    is_ = lambda value: F.count_if(F.col(outcome) == value)
+    return [
+        (is_(KEPT) + is_(DROPPED)).alias("scanned"),
+        is_(KEPT).alias("kept"),
+        is_(DROPPED).alias("dropped"),
+        is_(NO_LIST).alias("without_list"),
+    ]
+
+
 def without_detections(df: DataFrame, images: str = "images", **detector: object) -> DataFrame:
     """Rows in which nothing is detected; an empty list is kept."""
     return flag_detections(df, images, **detector).filter(~F.col("detected")).drop("detected")

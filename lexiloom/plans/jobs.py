@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.functions.names import batch_id
@@ -34,21 +34,36 @@ def clean_images(
 ) -> DataFrame:
     """Filter by detector, save, export manifest and assets, publish.
 
-    Rows without a payload list go to a quarantine table. The filtered table is
-    saved once and everything after reads it, so a costly detector runs once.
-    ``max_rows`` counts scanned rows by the ordinal column ``index``, ``limit``
-    counts manifest lines. Returns (version, rows) of the published table.
+    One pass over ``rows`` writes those that stay and those without a payload list
+    (``rows``, by ``outcome``), runs the detector once and counts (``totals``).
+    Manifest and assets read what was kept; what is published is a record of its
+    files. ``max_rows`` counts scanned rows by the ordinal column ``index``,
+    ``limit`` counts manifest lines. Returns (version, rows) of the published table.
+
+    Spark counts a task again that had to be redone for a lost executor; the number
+    of rows kept is therefore held against the written footers, and where they
+    differ the totals are taken from a pass of their own.
     """
     spark = rows.sparkSession
     if max_rows is not None:
         rows = indexing.slice_by_index(rows, 0, max_rows, index)
-    writers.write_table(detection.without_detections(rows, **detector), f"{out}/filtered", overwrite)
-    images = detector.get("images", "images")
-    writers.write_table(detection.without_list(rows, images), f"{out}/quarantine", overwrite)
-    kept = spark.read.schema(rows.schema).parquet(f"{out}/filtered")
+    seen = Observation("outcomes")
+    told = detection.with_outcome(rows, **detector).observe(seen, *detection.outcome_counts())
+    writers.write_table(told.filter(F.col("outcome") != detection.DROPPED), f"{out}/rows", overwrite, "outcome")
+    kept_rows = f"{out}/rows/outcome={detection.KEPT}"
+    if not writers.exists(spark, kept_rows):  # nothing was kept
+        writers.write_table(rows.limit(0), kept_rows)
+    kept = spark.read.schema(rows.schema).parquet(kept_rows)
+    published = writers.publish_table(spark, kept_rows, f"{out}/published")
+    totals = seen.get
+    if totals["kept"] != published.first().rows:
+        totals = detection.with_outcome(rows, **detector).agg(*detection.outcome_counts()).first().asDict()
+    names = ("scanned", "kept", "dropped", "without_list")
+    counted = spark.createDataFrame([tuple(totals[n] for n in names)], ", ".join(f"{n} BIGINT" for n in names))
+    writers.write_table(counted, f"{out}/totals", overwrite)
     writers.write_csv(export.manifest(kept, image_format, limit), f"{out}/manifest", overwrite)
     writers.write_table(export.asset_table(kept, image_format), f"{out}/images", overwrite)
-    return writers.publish(kept, f"{out}/published")
+    return published
 
 
 def sentence_similarity(
@@ -71,15 +86,37 @@ def sentence_similarity(
 def consolidate(spark: SparkSession, batches: str, out: str) -> DataFrame:
     """Batch outputs to one deduplicated CSV; returns the statistics.
 
-    ``files_skipped`` counts the files no row could be read from;
-    ``readers.skipped_files`` names them.
+    The batches are read once: pairs are counted on their way into the CSV. So are
+    the rows of each file, in one sum over hashes of their addresses, which is held
+    against the footers. Only where that differs are the files read again, to name
+    those that are broken (``out``-skipped: file, rows, read); ``files_skipped``
+    counts them. If the counts cannot be right (Spark counts a redone task again)
+    they are taken from the batches as well.
     """
     loaded = readers.read_batches(spark, batches, SCORED_PAIRS)
+    seen, left = Observation("loaded"), Observation("written")
+    own = F.count_if(F.col("idx1") == F.col("idx2")).alias("own")
+    mark = readers.file_mark(F.col("_metadata.file_path"))
+    watched = loaded.observe(seen, F.count(F.lit(1)).alias("rows"), own, F.sum(mark).alias("mark"))
     first_seen = ["batch_no", "idx1", "idx2", "similarity"]
-    final = pairs.dedup_pairs(loaded, first_seen)
+    final = pairs.dedup_pairs(watched, first_seen).observe(left, F.count(F.lit(1)).alias("rows"))
     writers.write_csv(conform(final, SCORED_PAIR_COLUMNS), out)
-    skipped = readers.skipped_files(spark, batches, SCORED_PAIRS).agg(F.count(F.lit(1))).scalar()
-    return pairs.pair_dedup_stats(loaded).withColumn("files_skipped", skipped)
+    footers = readers.file_rows(spark, batches).agg(
+        F.count_if(F.col("rows").isNull()).alias("broken"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.sum(readers.file_mark(F.col("file")) * F.col("rows")).alias("mark"),
+    ).first()
+    whole = not footers.broken and (seen.get["mark"] or 0) == (footers.mark or 0)
+    none = spark.createDataFrame([], "file STRING, rows BIGINT, read BIGINT")
+    writers.write_table(none if whole else readers.skipped_files(spark, batches, SCORED_PAIRS), f"{out}-skipped")
+    broken = spark.read.schema(none.schema).parquet(f"{out}-skipped")
+    skipped, lost = broken.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce("rows", "read") - F.col("read")), F.lit(0))).first()
+    if seen.get["rows"] != footers.rows - lost:
+        return pairs.pair_dedup_stats(loaded).withColumn("files_skipped", F.lit(skipped))
+    total, selves, final_pairs = seen.get["rows"], seen.get["own"], left.get["rows"]
+    row = (total, selves, total - selves - final_pairs, final_pairs, skipped)
+    names = ("initial_pairs", "self_pairs_removed", "duplicates_removed", "final_pairs", "files_skipped")
+    return spark.createDataFrame([row], ", ".join(f"{n} BIGINT" for n in names))
 
 
 def markup_corpus(

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,20 +72,52 @@ def read_batches(spark: SparkSession, path: str, schema: str, pattern: str = "*.
     return df.withColumn("batch_no", batch_number(F.col("_metadata.file_path")))
 
 
+def file_rows(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file, rows): how many rows the footer of each file under ``path`` tells of.
+
+    NULL where there is no footer to read. Footers with rows are read by a scan of
+    no columns; only files without any are opened as a whole, on executors, to
+    tell empty ones from broken ones.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    scan = spark.read.schema("_none INT").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    filled = scan.option("ignoreCorruptFiles", "true").parquet(path).groupBy(_address(F.col("_metadata.file_path")).alias("file"))
+    counts = filled.agg(F.count(F.lit(1)).alias("rows"))
+    bare = listed.select("path", _address(F.col("path")).alias("file")).join(counts, "file", "left_anti")
+    opened = listed.join(bare.select("path"), "path", "left_semi").select(_address(F.col("path")).alias("file"), "content")
+    return counts.unionByName(opened.mapInArrow(_footers, "file string, rows long"))
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for content in batch.column("content"):
+            try:
+                rows.append(pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows)
+            except (pa.ArrowInvalid, OSError):
+                rows.append(None)
+        yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(rows, pa.int64())], ["file", "rows"])
+
+
+def file_mark(path: Column) -> Column:
+    """A number for a file's address; sums of them tell rows of which files were read."""
+    return F.xxhash64(_address(path)).cast("decimal(20,0)")
+
+
 def skipped_files(spark: SparkSession, path: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
-    """Files under ``path``, by their whole address, from which no row could be read.
+    """(file, rows, read): files under ``path`` of which not every row could be read.
 
-    Files of different batch folders often share a name.
+    ``rows`` is by the file's footer, NULL without one; a sound file without rows
+    is none of them. Files of different batch folders often share a name, so
+    files are told apart by their whole address.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(_address(F.col("path")).alias("file"))
-    )
-    read = read_batches(spark, path, schema, pattern).select(_address(F.col("_metadata.file_path")).alias("file"))
-    return files.join(read.distinct(), "file", "left_anti")
+    whole = read_batches(spark, path, schema, pattern)
+    # One for each row, by way of all its values: a plain count would read no page.
+    one = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in whole.columns]), F.lit(1)) + 1
+    counts = whole.groupBy(_address(F.col("_metadata.file_path")).alias("file")).agg(F.sum(one).alias("read"))
+    both = file_rows(spark, path, pattern).join(counts, "file", "left")
+    found = both.select("file", "rows", F.coalesce("read", F.lit(0)).cast("bigint").alias("read"))
+    return found.filter(F.col("rows").isNull() | (F.col("read") < F.col("rows")))
 
 
 def _address(path: Column) -> Column:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexiloom.functions.names import batch_name
 from lexiloom.schemas import lists_as_json
+from lexiloom.sources.readers import file_rows
 
 # CSV dialect, quotes doubled and only where needed, no trimming.
 CSV_OPTIONS = {
@@ -24,9 +29,10 @@ def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
 
-def write_table(df: DataFrame, path: str, overwrite: bool = True) -> None:
-    """A Parquet table; an empty result still carries its schema."""
-    df.write.mode(_mode(overwrite)).parquet(path)
+def write_table(df: DataFrame, path: str, overwrite: bool = True, partition_by: str | None = None) -> None:
+    """A Parquet table; an empty result still carries its schema, unless it is partitioned."""
+    writer = df.write.mode(_mode(overwrite))
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, overwrite: bool = True) -> None:
@@ -78,20 +84,58 @@ def append_run(df: DataFrame, path: str) -> None:
 
 
 def publish(df: DataFrame, target: str) -> DataFrame:
-    """A new version folder under ``target``; returns (version, rows) of it.
+    """Writes ``df`` beside the records under ``target`` and publishes that table."""
+    table = f"{target}/tables/{uuid.uuid4().hex}"
+    write_table(df, table, overwrite=False)
+    return publish_table(df.sparkSession, table, target)
+
 
-    The row count is read back from the written files' footers.
+def publish_table(spark: SparkSession, table: str, target: str) -> DataFrame:
+    """A new version under ``target`` that holds the files of a written table.
+
+    Returns (version, rows). What is written is a record, (file, rows) for each
+    file by its footer; no row is read or copied, so ``table`` has to stay as it
+    is. The record gets its number by one rename that fails where the number is
+    taken: of two publishers at once each gets a version of its own, and readers
+    (``read_published``) never see half a record. A file without a footer is an error.
     """
-    spark = df.sparkSession
-    version = _last_version(spark, target) + 1
-    folder = f"{target}/version={version}"
-    df.write.mode("errorifexists").parquet(folder)
-    return (
-        spark.read.schema(df.schema)
-        .parquet(folder)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(version).cast("bigint").alias("version"), "rows")
-    )
+    staged = f"{target}/.staged-{uuid.uuid4().hex}"
+    broken = F.raise_error(F.concat(F.lit("no footer in "), "file")).cast("bigint")
+    files = file_rows(spark, table).select("file", F.coalesce("rows", broken).alias("rows"))
+    files.coalesce(1).write.parquet(staged)  # a line for each file
+    while True:
+        version = last_version(spark, target) + 1
+        if _renamed(spark, staged, f"{target}/version={version}"):
+            break
+    total = F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
+    return published_files(spark, target, version).agg(total).select(F.lit(version).cast("bigint").alias("version"), "rows")
+
+
+def published_files(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
+    """(file, rows) of a version, by default the last one."""
+    number = version or last_version(spark, target)
+    return spark.read.schema("file STRING, rows BIGINT").parquet(f"{target}/version={number}")
+
+
+def read_published(spark: SparkSession, target: str, schema: str | StructType, version: int | None = None) -> DataFrame:
+    """The rows of a published version, from the files its record names."""
+    files = [r.file for r in published_files(spark, target, version).select("file").collect()]
+    return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+
+
+def _renamed(spark: SparkSession, source: str, target: str) -> bool:
+    """Gives a folder its name unless the name is taken."""
+    jvm = spark._jvm
+    where = [jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where[1].toUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(*where, options)
+    except Py4JJavaError:
+        if exists(spark, target) and exists(spark, source):
+            return False
+        raise
+    return True
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -111,7 +155,7 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return files.exists(where) and files.getFileStatus(where).isFile()
 
 
-def _last_version(spark: SparkSession, target: str) -> int:
+def last_version(spark: SparkSession, target: str) -> int:
     """The highest version folder there is, 0 without one (names only are listed)."""
     files, where = _filesystem(spark, target)
     if not files.exists(where):

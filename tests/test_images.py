@@ -104,7 +104,10 @@ def test_job(spark, rows, folder):
     assert tuple(published) == (1, 3)
     csv = spark.read.options(**writers.CSV_READ_OPTIONS).csv(f"{folder}/out/manifest")
     assert ids(csv) == ["b", "f"]
-    assert ids(spark.read.parquet(f"{folder}/out/quarantine")) == ["d"]
+    written = spark.read.parquet(f"{folder}/out/rows")
+    assert ids(written.filter("outcome = 'without_list'")) == ["d"] and written.count() == 4
+    assert spark.read.parquet(f"{folder}/out/totals").first().asDict() == {"scanned": 5, "kept": 3, "dropped": 2, "without_list": 1}
+    assert ids(writers.read_published(spark, f"{folder}/out/published", rows.schema)) == ["b", "c", "f"]
     assert csv.filter("id = 'f'").first().problem == 'say "hi", you'
 
 
