@@ -103,17 +103,17 @@ def job_similarity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def job_similarity_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """Several blocks in several folders, over ids with gaps: every seventh is missing."""
+    """Several blocks in several folders, over ids with gaps: every seventh is left free."""
     path = new_folder(spark, "similarity")
-    gapped = fixtures.sentences(spark, sf).filter("idx % 7 <> 3")
+    gapped = fixtures.sentences(spark, sf).withColumn("idx", F.expr("idx + idx div 6"))
     found = jobs.sentence_similarity(gapped, path, block_size=BLOCK, blocks_per_folder=2, partners=200)
     return found.select("idx1", "idx2", "sentence1", "sentence2", "similarity")
 
 
-def _batches(spark: SparkSession, sf: str) -> str:
+def _batches(spark: SparkSession, sf: str, chosen: str = "true") -> str:
     """Overlapping pairs written one folder per batch of first rows."""
     path = new_folder(spark, "batches")
-    rows = overlapping(spark, sf).select(
+    rows = overlapping(spark, sf).filter(chosen).select(
         names.batch_id(F.least("idx1", "idx2"), BLOCK).alias("batch_id"),
         "idx1",
         "idx2",
@@ -159,8 +159,11 @@ def order_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs' batches, read apart and put together by column name."""
-    return _read(spark, sf).unionByName(_read(spark, sf)).drop("batch_no")
+    """Two runs' batches, read apart and put together by column name: one of the
+    pairs as drawn, one of their copies."""
+    runs = [_batches(spark, sf, "copy = 0"), _batches(spark, sf, "copy > 0")]
+    first, second = (readers.read_batches(spark, run, SCORED_PAIRS) for run in runs)
+    return first.unionByName(second).drop("batch_no")
 
 
 def job_consolidate(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,8 +177,15 @@ def preview(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_pairs(spark, sf).orderBy("idx1", "idx2").limit(5)
 
 
+FILES = 4
+
+
 def output_size(spark: SparkSession, sf: str) -> DataFrame:
-    return writers.output_size(spark, _batches(spark, sf))
+    """Of all documents as text, a line each, in a given number of files."""
+    path = new_folder(spark, "lines")
+    line = F.concat_ws(" ", F.col("doc_id").cast("string"), F.translate("text", "\n", " "))
+    fixtures.table(spark, sf, "documents").select(line.alias("value")).repartition(FILES).write.text(path)
+    return writers.output_size(spark, path)
 
 
 QUERIES = {
@@ -244,11 +254,10 @@ ranked AS (
   FROM scored
 )
 SELECT idx1, idx2, sentence1, sentence2, similarity FROM ranked WHERE n = 1""",
-    "job_similarity_blocks": f"""WITH {SENTENCES}
+    "job_similarity_blocks": f"""WITH {SENTENCES.replace("vec_id AS idx", "vec_id + vec_id // 6 AS idx")}
 SELECT least(a.idx, b.idx) AS idx1, greatest(a.idx, b.idx) AS idx2, a.text AS sentence1, b.text AS sentence2,
   round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity
-FROM sents a JOIN sents b ON a.idx // {BLOCK} = b.idx // {BLOCK} AND a.idx < b.idx
-WHERE a.idx % 7 <> 3 AND b.idx % 7 <> 3""",
+FROM sents a JOIN sents b ON a.idx // {BLOCK} = b.idx // {BLOCK} AND a.idx < b.idx""",
     "write_batches": f"""WITH {_OVERLAP}
 SELECT 'batch_' || (least(idx1, idx2) // {BLOCK} * {BLOCK}) || '_'
   || (least(idx1, idx2) // {BLOCK} * {BLOCK} + {BLOCK}) AS batch, count(*) AS pairs
@@ -262,8 +271,8 @@ SELECT idx, 'pairs_batch_' || (idx // {BLOCK} * {BLOCK}) || '_' || (idx // {BLOC
   || '.parquet' AS name, CAST(idx // {BLOCK} * {BLOCK} AS BIGINT) AS batch_no FROM sents
 UNION ALL SELECT idx, '/batch_7_8/out/pairs_' || idx || '.parquet', CAST(0 AS BIGINT) FROM sents""",
     "order_batches": f"WITH {_OVERLAP} {_ROWS} ORDER BY batch_no, idx1, idx2, similarity",
-    "union_batches": f"""WITH {_OVERLAP}, r AS ({_ROWS})
-SELECT * EXCLUDE (batch_no) FROM r UNION ALL SELECT * EXCLUDE (batch_no) FROM r""",
+    "union_batches": f"""WITH {_OVERLAP}
+SELECT idx1, idx2, sentence1, sentence2, similarity FROM overlap""",
     "job_consolidate": f"""WITH {_OVERLAP}, r AS ({_ROWS}),
 first AS (
   SELECT *, row_number() OVER (PARTITION BY least(idx1, idx2), greatest(idx1, idx2)
@@ -271,5 +280,7 @@ first AS (
   FROM r WHERE idx1 <> idx2
 )
 SELECT idx1, idx2, sentence1, sentence2, similarity FROM first WHERE n = 1""",
+    "output_size": f"""SELECT CAST({FILES} AS BIGINT) AS files,
+  round(sum(strlen(concat_ws(' ', CAST(doc_id AS VARCHAR), text)) + 1) / (1024 * 1024), 2) AS megabytes FROM documents""",
     "preview": f"WITH {_OVERLAP} {_KEPT} ORDER BY idx1, idx2 LIMIT 5",
 }

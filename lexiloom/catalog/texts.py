@@ -14,6 +14,7 @@ from lexiloom.catalog.sql import (
     chunks_of,
     planted,
     sentences_of,
+    words_of,
 )
 from lexiloom.functions import text as tx
 from lexiloom.operators.embedding import embed_hashed
@@ -84,10 +85,14 @@ def build_prompt(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+DIMENSIONS = 64
+
+
 def embed_text(spark: SparkSession, sf: str) -> DataFrame:
-    return embed_hashed(fixtures.table(spark, sf, "documents").select("doc_id", "text")).select(
-        "doc_id", "embedding"
-    )
+    """Each document's vector, a row per component."""
+    embedded = embed_hashed(fixtures.table(spark, sf, "documents").select("doc_id", "text"), dimensions=DIMENSIONS)
+    parts = embedded.select("doc_id", F.posexplode("embedding").alias("place", "weight"))
+    return parts.select("doc_id", "place", F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 
 QUERIES = {
@@ -129,6 +134,16 @@ SELECT page_id, pos, piece, {INTEGER.format("piece")} AS is_integer FROM pieces"
     "segment_markup": f"WITH {SEGMENTS} SELECT page_id, CAST(pos AS BIGINT) AS pos, is_tag, text FROM segments",
     "reassemble": f"""WITH {SEGMENTS}
 SELECT page_id, string_agg(text, '' ORDER BY pos) AS text FROM segments GROUP BY page_id""",
+    "embed_text": f"""WITH words AS (
+  SELECT doc_id, unnest({words_of("lower(text)")}) AS word FROM documents),
+counts AS (
+  SELECT doc_id, ('0x' || substr(md5(word), 1, 8))::BIGINT % {DIMENSIONS} AS place, count(*) AS n FROM words GROUP BY 1, 2),
+norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY doc_id),
+places AS (SELECT doc_id, unnest(range(0, {DIMENSIONS})) AS place FROM documents WHERE text IS NOT NULL)
+SELECT p.doc_id, CAST(p.place AS INTEGER) AS place,
+  round(CAST(CAST(coalesce(c.n / m.norm, 0) AS FLOAT) AS DOUBLE), 6) AS weight
+FROM places p LEFT JOIN counts c ON c.doc_id = p.doc_id AND c.place = p.place
+LEFT JOIN norms m ON m.doc_id = p.doc_id""",
     "build_prompt": f"""SELECT conv_id, turn,
   'Give a Spanish version of this passage.' || repeat(chr(10), 3) || text AS prompt
 FROM conversations""",

@@ -210,7 +210,10 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalize_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return readers.normalize_columns(fixtures.reasoning_sources(spark, sf)[1])
+    """All rows under the other layout's names, and back."""
+    rows = fixtures.reasoning_rows(spark, sf)
+    other = rows.select("index", F.col("prompt").alias("instruction"), F.col("response").alias("output"))
+    return readers.normalize_columns(other)
 
 
 def union_sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -522,7 +525,7 @@ timed AS (
 SELECT "index", 0.0 AS delta, 0.0 AS waited, 'picked up' AS event FROM timed
 UNION ALL SELECT "index", CASE WHEN missing THEN 0 WHEN rejected THEN 2 * (words + others) ELSE words + others END::DOUBLE, 0.0,
   CASE WHEN missing THEN 'quarantined: {MISSING}' WHEN rejected THEN 'quarantined: {REJECTED}' ELSE 'done' END FROM timed""",
-    "normalize_columns": f'WITH {REASONING} SELECT "index", prompt, response FROM o1 WHERE NOT opening',
+    "normalize_columns": f'WITH {REASONING} SELECT "index", prompt, response FROM o1',
     "union_sources": f'WITH {REASONING} SELECT "index", prompt, response FROM o1',
     "job_cot": _MARKUP.replace("AS translation", "AS translation, 'ok' AS status"),
     "job_o1": f"""WITH {REASONING}

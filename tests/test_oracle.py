@@ -14,8 +14,6 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-# Their values depend on hashing or file sizes; only rows are looked at.
-ROWS_ONLY = {"embed_text", "output_size"}
 # The optional training-data operators; those without SQL are tested in their own folder.
 OPTIONAL = {n for n in registered.queries() if re.match(r"op\d+_", n) or n == "pipeline"}
 
@@ -45,7 +43,7 @@ def rows(frame):
 
 
 def test_names_match():
-    assert set(registered.queries()) - set(registered.oracle_sql()) - OPTIONAL == ROWS_ONLY
+    assert set(registered.queries()) - set(registered.oracle_sql()) - OPTIONAL == set()
     assert set(registered.oracle_sql()) <= set(registered.queries())
 
 

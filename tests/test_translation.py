@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,5 +242,11 @@ def test_embeddings(spark):
     for r in hashed:
         assert len(r.embedding) == 16
         assert abs(sum(x * x for x in r.embedding) - 1) < 1e-5
+    odd = spark.createDataFrame([(" \n",), (None,), ("",), ("A a\tÉ é",)], "text string")
+    blank, null, empty, words = embed_hashed(odd.coalesce(1), dimensions=8).collect()
+    assert blank.embedding == empty.embedding == [0.0] * 8 and null.embedding is None
+    places = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 8 for w in ("a", "a", "é", "é")]
+    counts = [places.count(p) for p in range(8)]
+    assert words.embedding == pytest.approx([c / sum(n * n for n in counts) ** 0.5 for c in counts])
     lengths = embed_with(df, lambda: lambda texts: [[float(len(t))] for t in texts]).collect()
     assert [r.embedding for r in lengths] == [[5.0], [1.0]]
