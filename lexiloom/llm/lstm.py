@@ -118,11 +118,13 @@ class BlockLabeller:
         }
 
     def train(self, sequences: list[tuple[np.ndarray, np.ndarray]], epochs: int, batch: int, rate: float, seed: int = 0) -> float:
-        """Adam over (inputs, labels) sequences; the last epoch's mean loss."""
+        """Adam over (inputs, labels) sequences, in steps that shrink to a tenth; the
+        last epoch's mean loss."""
         random = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         step, mean = 0, 0.0
+        steps = epochs * -(-len(sequences) // batch)
         for _ in range(epochs):
             losses = []
             order = random.permutation(len(sequences))
@@ -139,7 +141,7 @@ class BlockLabeller:
                 for k, slope in slopes.items():
                     first[k] = 0.9 * first[k] + 0.1 * slope
                     second[k] = 0.999 * second[k] + 0.001 * slope * slope
-                    fix = np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+                    fix = (1 - 0.9 * step / steps) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
                     self.weights[k] -= (rate * fix * first[k] / (np.sqrt(second[k]) + 1e-8)).astype(np.float32)
             mean = float(np.mean(losses)) if losses else 0.0
         return mean
