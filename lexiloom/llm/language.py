@@ -3,17 +3,18 @@
 A text becomes the normalised TF-IDF vector of its hashed two- and three-letter
 grams. Every language has a few centroids, from spherical k-means over a bounded
 sample of its labelled texts; a text gets the language of the centroid with the
-largest cosine. A text further from all centroids than the texts of that language
-are from theirs is marked as rejected.
+largest cosine. A text further from all centroids than texts of that language and of
+about its length are from theirs is marked as rejected.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.llm.calibration import fold_of
@@ -26,19 +27,25 @@ BITS = 12
 GRAMS = 1 << BITS
 CENTROIDS = 4
 ROUNDS = 8
-# Labelled texts a language is learned from, on average over many runs of hashes.
+# Different labelled texts a language is learned from at most, those of least hashes.
 SAMPLE = 1_500
-# A text is rejected below this share of the cosine that all but one in a hundred
-# of the language's own texts reach, if it has letters enough to tell.
+# A text is rejected below this share of the cosine that all but one in a hundred of
+# the language's own texts of its class of length reach.
 REJECT_SHARE = 0.5
-LEAST_LETTERS = 100
 OWN_TEXTS = 0.01
+# Letters from which on a text is in the next class of length. What own short texts
+# reach is seen on beginnings, of these many letters or a few, of sampled texts.
+CLASSES = (8, 16, 32, 64, 128)
+# Fewer texts in a class cannot tell what texts of the language reach.
+LEAST_OWN = 10
+BEGINNINGS = 300
 UNKNOWN = "und"
 # Texts whose vectors are in memory at a time, and their characters.
 TEXTS = 128
 CHARACTERS = 1 << 16
 
 _SPACE = 32
+_NO_LETTER = re.compile(r"[\W\d_]")
 _LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -64,22 +71,47 @@ def _gram_counts(part: str) -> tuple[np.ndarray, int]:
     return counts.astype(float), int(letter.sum())
 
 
+def _parts(text: str) -> Iterator[str]:
+    """A long text cut before characters that are no letters, where no gram is cut."""
+    at = 0
+    while len(text) - at > CHARACTERS:
+        end = _NO_LETTER.search(text, at + CHARACTERS)
+        if not end:
+            break
+        yield text[at : end.start()]
+        at = end.start()
+    yield text[at:]
+
+
 def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """How often each hashed gram is in each text, and how many letters it has.
 
-    Anything but a letter is a space, and grams of spaces do not count. A long text
-    is read in parts that share two characters' worth of border at most.
+    Anything but a letter is a space, and grams of spaces do not count.
     """
     counts = np.zeros((len(texts), GRAMS))
     letters = np.zeros(len(texts), np.int64)
     for row, text in enumerate(texts):
-        for at in range(0, len(text or ""), CHARACTERS):
-            found, many = _gram_counts(text[at : at + CHARACTERS])
+        for part in _parts(text or ""):
+            found, many = _gram_counts(part)
             counts[row] += found
             letters[row] += many
     return counts, letters
 
 
+def length_class(letters: np.ndarray) -> np.ndarray:
+    return np.searchsorted(CLASSES, letters, side="right")
+
+
+def beginning(text: str, letters: int) -> str:
+    """The first so many letters of a text, and what lies between them."""
+    found = 0
+    for at, c in enumerate(text):
+        found += c.isalpha()
+        if found == letters:
+            return text[: at + 1]
+    return text
+
+
 def vectors(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Unit vectors of damped counts times gram weights; zeros stay zeros."""
     out = (np.log1p(counts) * weights).astype(np.float32)
@@ -114,12 +146,28 @@ def gram_weights(texts: DataFrame) -> np.ndarray:
 
 
 def _vector_rows(weights: np.ndarray):
+    """Vectors of sampled texts, and of beginnings of some of them, with their class of length."""
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
-            counts, letters = gram_counts(part.column("text").to_pylist())
-            rows = [v.tobytes() for v in vectors(counts, weights)]
-            made = pa.RecordBatch.from_arrays([part.column("lang"), pa.array(rows, pa.binary())], ["lang", "vector"])
-            yield made.filter(pa.array(letters > 0))
+            texts, langs = part.column("text").to_pylist(), part.column("lang").to_pylist()
+            for size in (None, 5, *CLASSES[:-1]):
+                if size is None:
+                    rows = list(zip(langs, texts))
+                else:
+                    few = zip(langs, texts, part.column("place").to_pylist())
+                    rows = [(lang, beginning(text, size)) for lang, text, place in few if place <= BEGINNINGS]
+                counts, letters = gram_counts([text for _, text in rows])
+                made = pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang for lang, _ in rows], pa.string()),
+                        pa.array([v.tobytes() for v in vectors(counts, weights)], pa.binary()),
+                        pa.array(length_class(letters).astype(np.int32)),
+                        pa.array([size is None] * len(rows), pa.bool_()),
+                    ],
+                    ["lang", "vector", "length", "whole"],
+                )
+                yield made.filter(pa.array(letters > 0))
 
     return make
 
@@ -147,45 +195,81 @@ def spherical_k_means(rows: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return chosen
 
 
+def least_cosines(best: np.ndarray, classes: np.ndarray, share: float, own: float) -> list[float]:
+    """The cosine below which a text is rejected, for each class of length.
+
+    Classes of fewer than ``LEAST_OWN`` texts take the limit of the next shorter one
+    that has them, as longer texts only come nearer to their centroids; if there is
+    none, no text is too far.
+    """
+    out, last = [], 0.0
+    for c in range(len(CLASSES) + 1):
+        mine = best[classes == c]
+        if len(mine) >= LEAST_OWN:
+            last = share * float(np.quantile(mine, own))
+        out.append(last)
+    return out
+
+
 def _learn(k: int, rounds: int, share: float, own: float):
     def learn(table: pa.Table) -> pa.Table:
-        data = sorted(table.column("vector").to_pylist())  # whatever order they come in
-        rows = np.stack([np.frombuffer(v, np.float32) for v in data])
-        chosen = spherical_k_means(rows, k, rounds)
-        least = share * float(np.quantile(np.max(rows @ chosen.T, axis=1), own))
+        # Sorted: whatever order they come in.
+        found = sorted(zip(table.column("vector").to_pylist(), table.column("length").to_pylist(), table.column("whole").to_pylist()))
+        rows = np.stack([np.frombuffer(v, np.float32) for v, _, _ in found])
+        classes, whole = np.array([c for _, c, _ in found]), np.array([w for _, _, w in found])
+        chosen = spherical_k_means(rows[whole], k, rounds)
+        least = least_cosines(np.max(rows @ chosen.T, axis=1), classes, share, own)
         n = len(chosen)
         return pa.table(
             {
                 "lang": pa.array([table.column("lang")[0].as_py()] * n, pa.string()),
                 "vector": pa.array([c.tobytes() for c in chosen], pa.binary()),
-                "least": pa.array([least] * n, pa.float64()),
+                "least": pa.array([least] * n, pa.list_(pa.float64())),
             }
         )
 
     return learn
 
 
-def learn_centroids(known: DataFrame, weights: np.ndarray, sample: int = SAMPLE) -> list:
-    """Centroids (lang, vector, least) from ``known`` (doc_id, text, lang).
+def sampled_texts(known: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(lang, text, place): at most ``sample`` different texts of each language that
+    have a letter, those of least hashes, numbered from 1; of each language with
+    such a text at least one.
 
-    About ``sample`` texts of each language are taken, by a hash of id and text, so
-    a language's vectors fit into one task and the model onto the driver.
+    Copies are folded, so they neither fill a sample nor decide by chance whether
+    their language is in it. Hashes are spread evenly, so a bound on them that about
+    ``sample`` texts pass is known from how many different ones there are; only
+    those under it, or the least one, come together.
     """
+    hashed = known.filter(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("hash"))
     # A row per language, read back from a table: Spark knows its size then, and
     # broadcasts it below its threshold.
-    totals = stage(known.groupBy("lang").agg(F.count(F.lit(1)).alias("total")), "languages")
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) / float(1 << 32)
-    drawn = known.withColumn("draw", draw).join(totals, "lang").filter(F.col("draw") < sample / F.col("total"))
-    rows = drawn.select("lang", "text").mapInArrow(_vector_rows(weights), "lang string, vector binary")
+    of = F.approx_count_distinct("hash", 0.02).alias("texts"), F.min("hash").alias("least")
+    totals = stage(hashed.groupBy("lang").agg(*of), "languages")
+    share = (sample * 1.1 + 10 * sample**0.5 + 20) / F.col("texts")
+    low = (F.col("hash").cast("double") / 2.0**63 + 1) / 2 < share
+    under = hashed.join(totals, "lang").filter(low | (F.col("hash") == F.col("least")))
+    folded = under.groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    return folded.withColumn("place", place).filter(F.col("place") <= sample).select("lang", "text", "place")
+
+
+def learn_centroids(known: DataFrame, weights: np.ndarray, sample: int = SAMPLE) -> list:
+    """Centroids (lang, vector, least) from ``known`` (text, lang); ``least`` by class of length.
+
+    A language's vectors fit into one task and the model onto the driver.
+    """
+    shape = "lang string, vector binary, length int, whole boolean"
+    rows = sampled_texts(known, sample).mapInArrow(_vector_rows(weights), shape)
     learnt = rows.groupBy("lang").applyInArrow(
-        _learn(CENTROIDS, ROUNDS, REJECT_SHARE, OWN_TEXTS), "lang string, vector binary, least double"
+        _learn(CENTROIDS, ROUNDS, REJECT_SHARE, OWN_TEXTS), "lang string, vector binary, least array<double>"
     )
     return learnt.orderBy("lang", "vector").collect()
 
 
 def _predict(weights: np.ndarray, model: list):
     langs = np.array([m["lang"] for m in model], object)
-    least = np.array([m["least"] for m in model])
+    least = np.array([m["least"] for m in model]).reshape(len(model), len(CLASSES) + 1)
     centroids = np.stack([np.frombuffer(m["vector"], np.float32) for m in model]) if model else np.zeros((0, GRAMS), np.float32)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +282,7 @@ def _predict(weights: np.ndarray, model: list):
                 place = np.argmax(cosines, axis=1)
                 best = np.clip(cosines[np.arange(part.num_rows), place].astype(float), 0, 1) * lettered
                 lang = np.where(lettered, langs[place], UNKNOWN)
-                far = ~lettered | ((letters >= LEAST_LETTERS) & (best < least[place]))
+                far = ~lettered | (best < least[place, length_class(letters)])
             columns = {name: part.column(name) for name in part.schema.names}
             columns |= {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(best), "rejected": pa.array(far)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -215,8 +299,10 @@ def predict_language(docs: DataFrame, known: DataFrame, sample: int = SAMPLE) ->
 
     ``known`` (doc_id, text, lang) is what is learned from; rows without a language
     are left out. A text that is null or has no letter is ``und`` with score 0 and
-    rejected, and so is every text when nothing is known. A text of fewer than
-    ``LEAST_LETTERS`` letters is never too far. A repeated row is predicted alike. Ties go to the first language in order. No rows give no rows.
+    rejected, and so is every text when nothing is known. Every language with a text
+    that has a letter can be predicted, however often its or other texts repeat. A
+    repeated row is predicted alike; ties go to the first language in order; a text
+    of any length is read as a whole, in parts. No rows give no rows.
     """
     renamed, back = set_aside(docs.drop(*(f"_{c}" for c in RESULTS)))
     found = _with_prediction(renamed, known, sample)
@@ -250,6 +336,11 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 
 def with_known_language(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` without those that the distance rejects."""
+    """The rows and columns of ``docs`` without those that the distance rejects.
+
+    Null texts and texts without a letter go too; repeated rows stay or go alike;
+    columns of any name are kept. Without any labelled text every row goes, without
+    rows there is nothing to keep.
+    """
     renamed, back = set_aside(docs)
     return _with_prediction(renamed, learnable(docs), SAMPLE).filter("NOT rejected").select(*back)
