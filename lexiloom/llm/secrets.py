@@ -5,8 +5,10 @@ belongs to the narrowest class that holds all its characters (hex, lower case an
 digits, any). A window of 20 characters slides over it; the counts of its
 characters change by one in and one out, and so does the sum that gives Shannon's
 entropy. Windows at or above the entropy of their class, with a letter and a digit
-in them, are hot; touching hot windows make one span. Candidates on the allow-list,
-and spans inside what a pattern has found, are left out.
+in them, are hot; touching hot windows make one span, which goes on to the end of
+the token. Candidates on the allow-list, and spans inside what a pattern has found,
+are left out. What may be in an address is told by its part: hosts are no secrets,
+the user's part and query values may well be.
 """
 
 from __future__ import annotations
@@ -40,16 +42,26 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{WINDOW},}}")
 CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+")), ("lower", re.compile(r"[a-z0-9]+")))
-# Not secrets: UUIDs, digests named as such, dates and numbers joined by signs,
-# paths and compounds whose parts are plain words or numbers, placeholders.
+# Not secrets: UUIDs; paths and compounds whose parts are plain words or numbers.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(r"(?:[+/_-]*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))(?:[+/_-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*[+/_-]*"),
-    re.compile(r".*(?:EXAMPLE|example|XXXX|xxxx).*"),
 )
-ALLOWED_BEFORE = re.compile(r"(?:sha1|sha256|sha512|md5|commit|digest|://[^\s]*)[-:=\s]*$", re.IGNORECASE)
-# Characters before a candidate that the allow-list looks at.
-BEFORE = 64
+# Stands in for a secret; what is left beside it has to be hot on its own.
+PLACEHOLDER = re.compile(r"example|x{4,}", re.IGNORECASE)
+# Runs of letters of one case, and numbers. In an identifier most characters are in
+# words of this many letters or more; more are asked for where nothing but digits
+# parts the words.
+RUN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+WORD, WORD_IN_LOWER, IN_WORDS = 3, 5, 0.75
+# Hexadecimal digits of usual digests, of 96 bits and more, and what
+# such a digest is announced by.
+DIGESTS = (24, 32, 40, 48, 56, 64, 96, 128)
+DIGEST_NAMES = ("sha1", "sha224", "sha256", "sha384", "sha512", "md5", "commit", "digest", "etag", "checksum")
+BETWEEN = "-:= \t\n\r\"'"
+ADDRESS = re.compile(r"""[A-Za-z][A-Za-z0-9+.-]*+://(?P<rest>[^\s<>"']*+)""")
+
+HOST = re.compile(r"(?:[^:\[\]]*|\[[0-9A-Fa-f:.]*\])(?::[0-9]*)?")
 
 
 def assigned(text: str) -> list[tuple[int, int]]:
@@ -101,16 +113,74 @@ def hot_windows(candidate: str, least: float, window: int = WINDOW) -> Iterator[
         yield begin, end
 
 
+def is_identifier(word: str) -> bool:
+    """Whether nearly all of it is in words, as in ``someLongName2``."""
+    least = WORD_IN_LOWER if CLASSES[1][1].fullmatch(word) else WORD
+    return sum(len(run) for run in RUN.findall(word) if len(run) >= least and run.isalpha()) >= IN_WORDS * len(word)
+
+
+def is_digest(word: str) -> bool:
+    return len(word) in DIGESTS and CLASSES[0][1].fullmatch(word) is not None
+
+
+def announced(text: str, at: int) -> bool:
+    """Whether what begins at ``at`` is named as a digest right before."""
+    while at and text[at - 1] in BETWEEN:
+        at -= 1
+    return text[max(0, at - 8) : at].lower().endswith(DIGEST_NAMES)
+
+
+def address_parts(text: str) -> Iterator[tuple[int, int, int]]:
+    """Where the host of each address begins and ends, and where its path ends."""
+    if "://" not in text:
+        return
+    for match in ADDRESS.finditer(text):
+        start, rest = match.start("rest"), match["rest"]
+        cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+        host = rest.rfind("@", 0, cut) + 1
+        if HOST.fullmatch(rest, host, cut):  # else a password with a slash in it
+            end = min((at for at in (rest.find(c, cut) for c in "?#") if at >= 0), default=len(rest))
+            yield start + host, start + cut, start + end
+
+
+def _hot(word: str) -> list[tuple[int, int]]:
+    """Hot spans of a token, each up to a slash or the token's end on both sides."""
+    kind = next((name for name, pattern in CLASSES if pattern.fullmatch(word)), "any")
+    out: list[tuple[int, int]] = []
+    for begin, end in hot_windows(word, LEAST_ENTROPY[kind]):
+        begin, end = word.rfind("/", 0, begin) + 1, word.find("/", end)
+        end = len(word) if end < 0 else end
+        if out and begin <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return out
+
+
+def is_allowed(word: str) -> bool:
+    """Whether a token's own shape tells that it is no secret."""
+    if any(p.fullmatch(word) for p in ALLOWED) or is_identifier(word):
+        return True
+    parts = PLACEHOLDER.split(word)
+    return len(parts) > 1 and not any(len(p) >= WINDOW and _hot(p) for p in parts)
+
+
 def entropy_spans(text: str) -> Iterator[tuple[int, int]]:
+    addresses, at = list(address_parts(text)), 0
     for match in CANDIDATE.finditer(text):
-        word, at = match[0], match.start()
+        word, begin = match[0], match.start()
         if word.isalpha() or word.isdigit():
             continue
-        kind = next((name for name, pattern in CLASSES if pattern.fullmatch(word)), "any")
-        hot = [(at + a, at + b) for a, b in hot_windows(word, LEAST_ENTROPY[kind])]
-        if not hot or any(p.fullmatch(word) for p in ALLOWED) or ALLOWED_BEFORE.search(text[max(0, at - BEFORE) : at]):
+        while at < len(addresses) and addresses[at][2] <= begin:
+            at += 1
+        host, path, end = addresses[at] if at < len(addresses) else (len(text),) * 3
+        if host <= begin < path:  # what is left of the host
+            word, begin = word[path - begin :], min(path, match.end())
+        if path <= begin < end and all(is_digest(part) or is_allowed(part) for part in word.split("/")):
+            continue
+        if not (hot := _hot(word)) or is_allowed(word) or (is_digest(word) and announced(text, begin)):
             continue
-        yield from hot
+        yield from ((begin + a, begin + b) for a, b in hot)
 
 
 def find_spans(text: str) -> list[tuple[int, int, int]]:
@@ -209,7 +279,12 @@ def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by ``MASK``; ``n_chars``, where it is a
-    column, is counted anew for texts that changed."""
+    column, is counted anew for texts that changed.
+
+    Overlapping spans are one mask. Null and empty texts stay as they are; repeated
+    rows change alike; a text of any length is looked at as a whole, one at a time;
+    columns of any name are kept. No rows give no rows.
+    """
     renamed, back = set_aside(docs)
     shaped = _with_spans(renamed).select(F.struct(*back).alias("row"), "text", "spans")
     masked = shaped.mapInArrow(_mask, shaped.schema)
