@@ -189,8 +189,9 @@ class Index:
 
 def build_indexes(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, most: int = PART_WINDOWS
-) -> list[Index]:
-    """The benchmark's windows with their rarest shingle, in parts of bounded size."""
+) -> Iterator[Index]:
+    """The benchmark's windows with their rarest shingle, in parts of bounded size,
+    one on the driver at a time."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
     cut = items.mapInArrow(_windows_of_items(window, shingle), "item_id string, words binary, size int")
@@ -201,13 +202,14 @@ def build_indexes(
     )
     known = exploded.select("shingle").distinct()
     parts = max(1, -(-known.count() // most))
-    counts = None
+    rarity = None
     for part in range(parts):
         mine = known.filter(F.pmod(F.xxhash64("shingle"), F.lit(parts)) == part).toPandas()["shingle"]
         shared = spark.sparkContext.broadcast(np.sort(mine.to_numpy(np.int64).view(np.uint64)))
         found = docs.select("text").mapInArrow(_count_shingles(shared, shingle), "shingle long, n long")
-        counts = found if counts is None else counts.unionByName(found)
-    rarity = counts.groupBy("shingle").agg(F.sum("n").alias("n"))
+        counts = stage(found.groupBy("shingle").agg(F.sum("n").alias("n")), "shingle-counts")
+        shared.unpersist()
+        rarity = counts if rarity is None else rarity.unionByName(counts)
     # A window with a shingle that no document has cannot occur.
     probes = stage(
         exploded.join(rarity, "shingle", "left")
@@ -220,7 +222,8 @@ def build_indexes(
     )
     parts = max(1, -(-probes.count() // most))
     part_of = F.pmod(F.xxhash64("shingle", "words"), F.lit(parts))
-    return [Index.of(probes.filter(part_of == part).collect(), window) for part in range(parts)]
+    for part in range(parts):
+        yield Index.of(probes.filter(part_of == part).collect(), window)
 
 
 def _probe(shared, shingle: int):
@@ -314,10 +317,13 @@ def _with_hits(
         F.lit(None).cast("array<bigint>").alias("ends"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    for i, index in enumerate(indexes):
-        if i:  # one part in memory at a time
+    shared = None
+    for index in indexes:
+        if shared:  # one part in memory at a time, on the driver and on executors
             found = stage(found, "benchmark-hits")
-        found = found.mapInArrow(_probe(spark.sparkContext.broadcast(index), shingle), found.schema)
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(index)
+        found = found.mapInArrow(_probe(shared, shingle), found.schema)
     return found
 
 
@@ -332,7 +338,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows and columns of ``docs`` in which no window of the benchmark occurs."""
+    """The rows and columns of ``docs`` in which no window of the benchmark occurs.
+
+    Null and empty texts stay, repeated rows stay or go alike, a text of any length
+    is searched as a whole; columns of any name are kept. An empty benchmark takes
+    nothing away; no rows give no rows.
+    """
     renamed, back = set_aside(docs)
     found = _with_hits(renamed, benchmark, **settings)
     return found.filter(F.coalesce(F.size("starts"), F.lit(0)) <= 0).select(*back)

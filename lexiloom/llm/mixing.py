@@ -9,6 +9,8 @@ ends is sorted. Built-in functions only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from lexiloom.session import stage
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-# Leading hex digits of a key that name its range: 16 ** 3 ranges a source.
-RANGE_DIGITS = 3
+# Rows that a range of keys holds about; the one at a source's cut is sorted in one task.
+RANGE_ROWS = 50_000
 SEED = "mix"
 
 
@@ -77,9 +79,12 @@ def mix_sources(
     own, null ids share one key, repeated rows are taken one by one, and rows
     that agree in key and size are interchangeable. No rows give no rows.
     """
-    key = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 16)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
+    key = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 16)
     sized = stage(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), key.alias("key")), "mix-sizes")
-    sized = sized.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    # So many leading hex digits of a key name its range.
+    digits = max(1, math.ceil(math.log(max(sized.count(), 1) / RANGE_ROWS, 16)))
+    sized = sized.withColumn("range", F.substring("key", 1, digits))
 
     ranges = stage(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "mix-ranges")
     sizes = ranges.groupBy("source").agg(F.sum("words").alias("source_size"))

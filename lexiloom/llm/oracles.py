@@ -64,7 +64,7 @@ FROM docs d LEFT JOIN hit h ON d.rid = h.rid LEFT JOIN named n ON d.rid = n.rid"
 
 MIXING = f"""WITH sized AS (
   SELECT doc_id, source, CAST(len({plain_words("text")}) AS BIGINT) AS size,
-    substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS key
+    substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ':' || md5(coalesce(text, '')))), 1, 16) AS key
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -77,6 +77,10 @@ def _normal_equations(features: Features):
     return add_up
 
 
+# Partitions whose sums are first added up among themselves: one in so many.
+BRANCHES = 256
+
+
 def _add_rows(table: pa.Table) -> pa.Table:
     sums = np.sum(table.column("sums").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1), axis=0)
     return pa.table({"row": table.column("row")[:1], "sums": pa.array([sums], pa.list_(pa.float64()))})
@@ -84,8 +88,11 @@ def _add_rows(table: pa.Table) -> pa.Table:
 
 def solve(train: DataFrame, features: Features, ridge: float = RIDGE) -> np.ndarray:
     """Ridge weights over all rows of ``train`` (f*, label)."""
-    parts = train.mapInArrow(_normal_equations(features), "row long, sums array<double>")
-    rows = parts.groupBy("row").applyInArrow(_add_rows, "row long, sums array<double>").orderBy("row").collect()
+    shape = "row long, sums array<double>"
+    parts = train.mapInArrow(_normal_equations(features), shape).withColumn("branch", F.pmod(F.spark_partition_id(), F.lit(BRANCHES)))
+    # Folded twice, so that no group has a row from every partition.
+    branches = parts.groupBy("row", "branch").applyInArrow(_add_rows, shape)
+    rows = branches.groupBy("row").applyInArrow(_add_rows, shape).orderBy("row").collect()
     size = len(features.phase) + 1
     if not rows:
         return np.zeros(size)

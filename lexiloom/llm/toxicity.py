@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick over folded text.
 
-Folding lower-cases, replaces homoglyphs, and inside tokens that mix letters with
-digits or signs also the digits and signs that stand for letters. Entries are whole
+Folding lower-cases, takes letters apart from their marks, drops marks and invisible
+characters, replaces homoglyphs, and inside tokens that mix letters with digits or
+signs also the digits and signs that stand for letters. Entries are whole
 words or beginnings of words. The lexicon starts from a short list and learns
 weights, log odds of toxic against other documents, from a bounded sample of
 labelled documents. A document's score is the summed weight of its words over the
@@ -11,8 +12,9 @@ root of its length, calibrated on labels that the lexicon has not seen.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import sqrt
 
 import ahocorasick
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.calibration import Calibration, calibrate, fold_of
+from lexiloom.llm.sampling import least_by_hash
 from lexiloom.llm.words import pieces
 from lexiloom.session import stage
 
@@ -35,6 +38,22 @@ LEAST_DOCUMENTS = 4
 LEAST_WEIGHT = 1.5
 THRESHOLD = 0.3
 
+
+
+def _ranges(points: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring numbers, first and last."""
+    first = last = None
+    for p in points:
+        if last is not None and p == last + 1:
+            last = p
+            continue
+        if first is not None:
+            yield first, last
+        first = last = p
+    if first is not None:
+        yield first, last
+
+
 # Insults known beforehand, with a weight like a learned one.
 KNOWN = {
     "idiot": 4.0, "moron": 4.0, "stupid": 3.0, "loser": 3.0, "pathetic": 3.0, "worthless": 3.0,
@@ -44,17 +63,23 @@ KNOWN = {
 # Phrases in which such a word is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish", "idiot proof", "sore loser", "rodeo clown")
 
-# Letters of other scripts that look like Latin ones.
-HOMOGLYPHS = {
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j",
-    "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ԁ": "d", "ɡ": "g", "α": "a", "ο": "o", "ρ": "p",
-    "τ": "t", "υ": "u", "ν": "v", "ι": "i", "κ": "k", "ⅼ": "l",
+# Letters that look like Latin ones and stay what they are when taken
+# apart, by the letter they look like.
+LOOKALIKES = {
+    "a": "аɑα", "b": "вьɓβ", "c": "сϲᴄ", "d": "ԁɗđ", "e": "еєɛε", "f": "ƒ", "g": "ɡԍ", "h": "нһħ", "i": "іıιɩ", "j": "јϳ",
+    "k": "кκ", "l": "ⅼӏłǀ", "m": "мᴍ", "n": "пηո", "o": "оοσøօ", "p": "рρþ", "q": "ԛ", "r": "гᴦ", "s": "ѕꜱ", "t": "тτŧ",
+    "u": "υսʋ", "v": "νѵ", "w": "ωԝшɯ", "x": "хχ", "y": "уүγ", "z": "ᴢʐ",
 }
+HOMOGLYPHS = {look: letter for letter, looks in LOOKALIKES.items() for look in looks}
 # Digits and signs that stand for letters.
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 
 # 1 stands for i and for l, so these two are one letter in folded text.
-_LETTERS = str.maketrans(HOMOGLYPHS | {"ⅼ": "i", "l": "i"})
+_LETTERS = str.maketrans(HOMOGLYPHS | {look: "i" for look in (*LOOKALIKES["l"], "l")})
+# Marks and invisible characters, which folding drops: the general categories say which.
+_DROPPED = re.compile("[" + "".join(
+    f"{chr(a)}-{chr(b)}" for a, b in _ranges(c for c in range(0x80, 0xF0000) if unicodedata.category(chr(c)) in ("Mn", "Me", "Cf"))
+) + "]+")
 _SIGNS = str.maketrans(DIGITS)
 # Tokens with a digit or sign; begun at their first character and never given back,
 # so that a token of any length is read once.
@@ -70,6 +95,8 @@ def _spelled(match: re.Match) -> str:
 
 def fold(text: str) -> str:
     """Words of folded letters, each with one space before and after."""
+    if not text.isascii():
+        text = _DROPPED.sub("", unicodedata.normalize("NFKD", text))
     text = text.lower().translate(_LETTERS)
     text = _MIXED.sub(_spelled, text)
     return f" {_NOT_LETTERS.sub(' ', text).strip()} "
@@ -176,7 +203,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     known = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("label"))
 
     def sample(wanted) -> DataFrame:
-        chosen = known.filter(wanted).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
+        rows = known.filter(wanted).withColumn("digest", F.md5(F.col("doc_id").cast("string")))
+        chosen = least_by_hash(rows, "digest", most, rows.count(), "doc_id", "label").drop("digest")
         return docs.select("doc_id", "text").join(F.broadcast(stage(chosen, "labels")), "doc_id").select("text", "label")
 
     lexicon = learn_lexicon(sample((fold_number != HELD_OUT) & (fold_number != CALIBRATION)))

@@ -215,13 +215,13 @@ def test_blocks_of_a_page():
     assert [b.text for b in html.read_blocks(page)] == ["A b & c", "d e", "f", "g", "h", "jk 1 < 2"]
 
 
-def links_of(texts):
+def links_of(texts, percent=85):
     sets = {}
     for name, text in texts.items():
         words = PLAIN.findall(text.translate({c: c + 32 for c in range(65, 91)}))
         sets[name] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
     names = sorted(sets)
-    return {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    return {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
 
 
 def test_near_copies_in_a_chain(spark):
@@ -285,7 +285,7 @@ def test_every_stage_keeps_what_it_should(spark, docs, benchmark, texts):
     assert {r.doc_id for r in first.collect()} == lettered
     second = corpus_pipeline.one_of_near_copies(spark, docs, folder).collect()
     root = {i: i for i in texts}
-    links = links_of(texts)
+    links = links_of(texts, 80)
     for _ in range(20):
         for a, b in links:
             root[a] = root[b] = min(root[a], root[b])

@@ -112,3 +112,36 @@ def test_masking_changes_only_the_spans(spark):
     out = {r.doc_id: r for r in secrets.mask_secrets(rows).collect()}
     assert out[1].text == "a [SECRET]' b [SECRET] é [SECRET]" and out[1].n_chars == len(out[1].text)
     assert (out[2].text, out[2].n_chars, out[3].text, out[3].n_chars) == (None, None, "clean", 99)
+
+
+@pytest.mark.parametrize("text", ["ｉｄｉｏｔ", "ídiot", "ıdiot", "i​diot", "1d10t", "İDIOT", "іԁіоτ", "ī̷d̶i͟o̲t"])
+def test_spellings_of_one_word_fold_alike(text):
+    assert toxicity.fold(text) == toxicity.fold("idiot")
+    assert toxicity.Matcher(toxicity.known_entries()).rate(toxicity.fold(f"you {text}")) > 0
+
+
+def test_rows_without_ids_are_spread_over_ranges(spark):
+    """Half of a source's words, from rows that all lack an id."""
+    rows = [(None, f"w{i} " * 3, "a") for i in range(400)] + [(None, f"v{i} " * 3, "b") for i in range(1200)]
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by_source = {s: [r for r in mixed if r.source == s] for s in "ab"}
+    assert [sum(r.taken for r in by_source[s]) for s in "ab"] == [round(by_source[s][0].target) for s in "ab"]
+    assert 0 < sum(r.taken > 0 for r in by_source["b"]) < 1200
+
+
+def test_pipeline_delivers_its_texts(spark, odd, bench, tmp_path, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[1:])  # so few rows teach no language
+    odd.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    mix = corpus_pipeline.run(spark, str(tmp_path), str(tmp_path / "out")).collect()
+    texts = spark.read.parquet(str(tmp_path / "out/documents"))
+    assert texts.columns == odd.columns and texts.count() == len(mix) > 0
+    assert sorted(str(r.doc_id) for r in mix) == sorted(str(r.doc_id) for r in texts.collect())
+
+
+def test_pipeline_without_documents(spark, nothing, bench, tmp_path):
+    nothing.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    mixed = corpus_pipeline.STAGES[4][1](spark, nothing.select("*", *(F.lit(7).alias(c) for c in CLASHING)), str(tmp_path))
+    assert mixed.collect() == []
