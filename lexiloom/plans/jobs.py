@@ -19,6 +19,7 @@ from lexiloom.schemas import (
     TRIPLET_COLUMNS,
     conform,
 )
+from lexiloom.session import staging
 from lexiloom.sources import readers, writers
 
 
@@ -188,11 +189,13 @@ def _resumable(
     """
     spark = df.sparkSession
     todo = df if skip is None else indexing.slice_by_index(df, skip, max_rows, index)
-    schema = translate(df.limit(0)).withColumn("processed_at", F.current_timestamp()).schema
-    if writers.exists(spark, out):
-        before = spark.read.schema(schema).parquet(out).filter(F.col("status") == translation.OK)
-        todo = indexing.pending(todo, before, index)
-    writers.append_run(translate(todo), out)
+    with staging(spark):
+        if writers.exists(spark, out):
+            before = spark.read.parquet(out).filter(F.col("status") == translation.OK)
+            todo = indexing.pending(todo, before, index)
+        done = translate(todo)
+        writers.append_run(done, out)
+        schema = done.withColumn("processed_at", F.current_timestamp()).schema
     return spark.read.schema(schema).parquet(out)
 
 

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,31 +48,31 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-# Folders made so far, in order; `staging` removes those made inside it.
-_made: list[str] = []
+# The folder of the innermost `staging` of this thread, if it is in one.
+_owner: ContextVar[str | None] = ContextVar("staging", default=None)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    path = f"{shared_folder(spark)}/lexiloom/{label}-{uuid.uuid4().hex}"
-    _made.append(path)
-    return path
+    inside = _owner.get() or f"{shared_folder(spark)}/lexiloom"
+    return f"{inside}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Owns the tables staged inside it and removes them at its end.
+    """Owns the tables staged inside it by this thread and removes them at its end.
 
-    A DataFrame made inside still reads them, so write its result before the end.
+    They lie in a folder of its own, so what other threads stage meanwhile is left
+    alone. A DataFrame made inside still reads them, so write its result before the end.
     """
-    before = len(_made)
+    path = new_folder(spark, "owned")
+    token = _owner.set(path)
     try:
         yield
     finally:
-        for path in _made[before:]:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        del _made[before:]
+        _owner.reset(token)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

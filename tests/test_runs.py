@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +194,31 @@ def test_shared_folder():
 
 def test_folders_are_new_each_time(spark):
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
+
+
+def test_owners_of_staged_tables_leave_each_other_alone(spark):
+    begun, ended, seen = threading.Event(), threading.Event(), []
+
+    def other():
+        with session.staging(spark):
+            table = session.stage(spark.range(5), "other")
+            begun.set()
+            ended.wait(60)
+            seen.append(table.count())
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    begun.wait(60)
+    with session.staging(spark):
+        mine = session.stage(spark.range(3), "mine")
+        with session.staging(spark):
+            inner = session.stage(spark.range(2), "inner")
+        assert mine.count() == 3
+        with pytest.raises(Exception, match="not exist"):
+            inner.count()
+    ended.set()
+    thread.join()
+    assert seen == [5]
+    with pytest.raises(Exception, match="not exist"):
+        mine.count()
+    assert session.stage(spark.range(4), "free").count() == 4
