@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
+from math import log1p
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.llm.lstm import BlockLabeller
 from lexiloom.llm.sampling import least_by_hash
-from lexiloom.llm.words import pieces
+from lexiloom.llm.words import pieces, split_words
 
 PATH = 512
 WORDS = 64
@@ -291,19 +292,20 @@ def vectors(blocks: list[Block], part: range | None = None) -> np.ndarray:
         for path in {blocks[at].path for at in part}
     }
     total = sum(len(block.text) for block in blocks) or 1
-    for row, block in enumerate(blocks[part.start : part.stop]):
+    words = split_words(pa.array([blocks[at].text for at in part], pa.string()))
+    hashed = words.rows() * WORDS + (words.hashes % np.uint64(WORDS)).astype(np.int64)
+    shares = np.bincount(hashed, minlength=len(part) * WORDS).reshape(-1, WORDS) / np.maximum(words.counts, 1)[:, None]
+    out[:, PATH : PATH + WORDS] = shares
+    for row, (block, many) in enumerate(zip(blocks[part.start : part.stop], words.counts.tolist())):
         told, at, weights = places[block.path]
         out[row, at] = weights
-        words = block.text.split(" ")
-        hashed = np.fromiter((PATH + _hash(w) % WORDS for w in words), np.int64, len(words))
-        out[row] += np.bincount(hashed, minlength=out.shape[1]).astype(np.float32) / len(words)
         length, leaf = len(block.text), block.path[-1][0] if block.path else ""
         out[row, PATH + WORDS :] = (
-            np.log1p(len(words)) / 5,
+            log1p(many) / 5,
             min(1.0, block.linked / max(length, 1)),
-            np.log1p(sum(block.text.count(c) for c in ".,;:!?")) / 4,
+            log1p(sum(map(block.text.count, ".,;:!?"))) / 4,
             float(block.text[-1] in ".!?"),
-            length / len(words) / 10,
+            length / max(many, 1) / 10,
             1.0,
             2.0 * (told == 1),
             2.0 * (told == 0),
