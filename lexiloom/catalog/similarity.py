@@ -12,7 +12,7 @@ from lexiloom.functions.vectors import cosine
 from lexiloom.operators import pairs
 from lexiloom.plans import jobs
 from lexiloom.schemas import SCORED_PAIR_COLUMNS, SCORED_PAIRS, conform
-from lexiloom.session import new_folder
+from lexiloom.session import new_folder, stage
 from lexiloom.sources import readers, writers
 
 BLOCK = 100
@@ -36,9 +36,11 @@ def sample_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs over a stored table of sentences, of which nothing is shuffled."""
     sentences = fixtures.sentences(spark, sf)
     drawn = pairs.sample_pairs(sentences, block_size=BLOCK, partners=PARTNERS)
-    return conform(pairs.score_pairs(drawn, sentences), SCORED_PAIR_COLUMNS)
+    table = pairs.store_vectors(sentences, new_folder(spark, "sentences"), buckets=8)
+    return conform(pairs.score_stored(drawn, table), SCORED_PAIR_COLUMNS)
 
 
 def cosine_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +88,10 @@ def drop_self_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return pairs.dedup_pairs(overlapping(spark, sf), ORDER).select(*OVERLAP_COLUMNS)
+    """Of a written table, texts last."""
+    turned = F.col("idx1") > F.col("idx2")
+    order = [(turned.cast("int"), 1), (F.col("rep"), 31), (F.col("rank"), 31), (F.col("copy"), 8)]
+    return pairs.dedup_stored(stage(overlapping(spark, sf), "overlapping"), order).select(*OVERLAP_COLUMNS)
 
 
 def dedup_pairs_ranked(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lexiloom.functions.text import has_han
 from lexiloom.operators.skew import join_spread
@@ -18,6 +19,9 @@ NativeDetector = Callable[[Column], Column]
 DetectorFactory = Callable[[], Callable[[bytes], bool]]
 
 
+# Bitmaps broadcast at a time, 4 KB each.
+BITMAP_BUCKETS = 8192
+
 # Outcomes of a row.
 KEPT, DROPPED, NO_LIST = "kept", "dropped", "without_list"
 
@@ -122,13 +126,57 @@ def without_detections(df: DataFrame, images: str = "images", **detector: object
     return flag_detections(df, images, **detector).filter(~F.col("detected")).drop("detected")
 
 
+def without_rejected(df: DataFrame, rejected: DataFrame, index: str, buckets: int = BITMAP_BUCKETS) -> DataFrame:
+    """Rows of ``df`` whose whole number ``index`` is not in ``rejected`` (one column).
+
+    The rejected numbers become bitmaps of 32,768 each, 4 KB a bitmap, which are
+    broadcast and tested where the rows lie; no row of ``df`` is shuffled. At most
+    ``buckets`` bitmaps (32 MB by default) are broadcast at a time: beyond that the
+    numbers are worked on range by range, and of a table stored in their order
+    each range reads only its own files. A NULL number is not rejected.
+    """
+    number = F.col(rejected.columns[0])
+    bitmaps = stage(
+        rejected.filter(number.isNotNull())
+        .groupBy(F.bitmap_bucket_number(number).alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bitmap")),
+        "bitmaps",
+    )
+    low, high = bitmaps.agg(F.min("_bucket"), F.max("_bucket")).first()
+    if low is None:
+        return df
+    bucket, position = F.bitmap_bucket_number(F.col(index)), F.bitmap_bit_position(F.col(index))
+    byte = F.conv(F.hex(F.substring("_bitmap", F.call_function("div", position, F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10)
+    hit = F.call_function("shiftright", byte.cast("int"), (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    def untouched(rows: DataFrame, some: DataFrame) -> DataFrame:
+        joined = rows.withColumn("_bucket", bucket).join(F.broadcast(some), "_bucket", "left")
+        return joined.filter(~F.coalesce(hit, F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+    if high - low < buckets:
+        return untouched(df, bitmaps)
+    out = df.filter(F.coalesce((bucket < low) | (bucket > high), F.lit(True)))
+    for first in range(low, high + 1, buckets):
+        inside = lambda b: (b >= first) & (b < first + buckets)  # noqa: B023, E731
+        out = out.unionByName(untouched(df.filter(inside(bucket) & (bucket <= high)), bitmaps.filter(inside(F.col("_bucket")))))
+    return out
+
+
+def _without(rows: DataFrame, hits: DataFrame, row_id: str) -> DataFrame:
+    """By bitmaps where rows are numbered, else by an anti-join on the ids."""
+    if isinstance(rows.schema[row_id].dataType, IntegralType):
+        return without_rejected(rows, hits, row_id)
+    return rows.join(hits, row_id, "left_anti")
+
+
 def without_detections_anti(
     df: DataFrame, row_id: str, images: str = "images", native: NativeDetector = han_payload
 ) -> DataFrame:
-    """The same rows through an anti-join on the ids of rows with a hit.
+    """The same rows by the ids of rows with a hit.
 
-    For hits that come from another table. Only ids are shuffled on the hit
-    side; the form above needs no shuffle at all and is the default.
+    For hits that come from another table. Of the hits only ids are shuffled, and
+    where ids are whole numbers no row of ``df`` is; the form above needs no
+    shuffle at all and is the default.
     """
     rows = _require_images(df, images)
     hits = (
@@ -137,7 +185,7 @@ def without_detections_anti(
         .select(row_id)
         .distinct()
     )
-    return rows.join(hits, row_id, "left_anti")
+    return _without(rows, hits, row_id)
 
 
 def file_address(path: Column) -> Column:
@@ -168,7 +216,7 @@ def without_detections_by_path(
     named = rows.select(row_id, F.explode(images).alias("path")).withColumn("path", file_address(F.col("path")))
     uses = stage(named.groupBy("path").agg(F.count(F.lit(1)).alias("uses")), "path-uses")
     hits = join_spread(named, hit_paths, "path", [row_id], uses, "inner").select(row_id).distinct()
-    return rows.join(hits, row_id, "left_anti")
+    return _without(rows, hits, row_id)
 
 
 def paths_without_file(df: DataFrame, files: DataFrame, images: str = "images") -> DataFrame:

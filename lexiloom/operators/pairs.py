@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -110,6 +113,38 @@ def score_pairs(pairs: DataFrame, sentences: DataFrame) -> DataFrame:
     )
 
 
+def store_vectors(sentences: DataFrame, path: str, buckets: int = 64) -> str:
+    """Writes (idx, text, embedding) as a table in sorted buckets of ``idx``; its name.
+
+    Joins on ``idx`` then take its rows as they lie. ``buckets`` is for the table:
+    as many as make files of a few hundred megabytes.
+    """
+    name = f"sentences_{uuid.uuid4().hex}"
+    writer = sentences.select("idx", "text", "embedding").repartition(buckets, "idx").write
+    writer.bucketBy(buckets, "idx").sortBy("idx").option("path", path).saveAsTable(name)
+    return name
+
+
+def score_stored(pairs: DataFrame, table: str) -> DataFrame:
+    """Texts and cosine for any list of pairs from a table of ``store_vectors``.
+
+    Only the pairs are shuffled: with a vector on the way to its partner, then, the
+    vectors gone, with one text on the way to the other one.
+    """
+    stored = pairs.sparkSession.table(table)
+
+    def side(n: int, column: str, name: str) -> DataFrame:
+        return stored.select(F.col("idx").alias(f"idx{n}"), F.col(column).alias(name))
+
+    scored = (
+        pairs.join(side(1, "embedding", "_v1"), "idx1")
+        .join(side(2, "embedding", "_v2"), "idx2")
+        .withColumn("similarity", F.round(batch_cosine(F.col("_v1"), F.col("_v2")), 6))
+        .drop("_v1", "_v2")
+    )
+    return scored.join(side(2, "text", "sentence2"), "idx2").join(side(1, "text", "sentence1"), "idx1")
+
+
 def similar_pairs(
     sentences: DataFrame,
     block_size: int = BLOCK_SIZE,
@@ -193,6 +228,41 @@ def dedup_pairs(pairs: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def packed_order(order: list[tuple[Column, int]]) -> Column:
+    """One number that orders rows as the columns do one after another.
+
+    Each column comes with the bits its values need: whole numbers from 0, no more
+    than 126 bits together. NULL comes first, as 0.
+    """
+    if sum(bits for _, bits in order) > 126:
+        raise ValueError("the columns need more than 126 bits")
+    total, shift = F.lit(Decimal(0)).cast("decimal(38,0)"), 0
+    for column, bits in reversed(order):
+        value = F.coalesce(column.cast("decimal(38,0)"), F.lit(Decimal(0)))
+        fits = F.when((value >= 0) & (value < F.lit(Decimal(2**bits))), value).otherwise(
+            F.raise_error(F.lit(f"a value of the order needs more than {bits} bits")).cast("decimal(38,0)")
+        )
+        total = (total + (fits * F.lit(Decimal(2**shift))).cast("decimal(38,0)")).cast("decimal(38,0)")
+        shift += bits
+    return total
+
+
+def dedup_stored(pairs: DataFrame, order: list[tuple[Column, int]]) -> DataFrame:
+    """As ``dedup_pairs``, of a written table: texts are fetched for the winners only.
+
+    The first pass reads ids and ``order`` (see ``packed_order``; the pair's own
+    direction can be told by ``F.col("idx1") > F.col("idx2")``) and reduces them to
+    one number per pair, which hash aggregation can hold. Rows that agree in all of
+    it are told apart by 30 bits of a hash of their place in the files. The second
+    pass joins by that number as well, so the copies of a hot pair do not meet.
+    """
+    tie = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).bitwiseAND(F.lit(2**30 - 1))
+    key = packed_order([*order, (tie, 30)]).alias("_key")
+    stored = drop_self_pairs(pairs)
+    first = stored.select(*_pair_key(), key).groupBy("_low", "_high").agg(F.min("_key").alias("_key"))
+    return stored.select("*", *_pair_key(), key).join(first, ["_low", "_high", "_key"]).drop("_low", "_high", "_key")
+
+
 def dedup_pairs_ranked(pairs: DataFrame, order: list[str]) -> DataFrame:
     """As ``dedup_pairs`` through a rank; Spark trims groups before the shuffle."""
     keyed = drop_self_pairs(pairs).select("*", *_pair_key())

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-# The folder of the innermost `staging` of this thread, if it is in one.
-_owner: ContextVar[str | None] = ContextVar("staging", default=None)
+# A property of the thread: the folder of the innermost `staging` it is in.
+OWNER = "lexiloom.staging"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    inside = _owner.get() or f"{shared_folder(spark)}/lexiloom"
+    inside = spark.sparkContext.getLocalProperty(OWNER) or f"{shared_folder(spark)}/lexiloom"
     return f"{inside}/{label}-{uuid.uuid4().hex}"
 
 
@@ -66,11 +65,12 @@ def staging(spark: SparkSession) -> Iterator[None]:
     alone. A DataFrame made inside still reads them, so write its result before the end.
     """
     path = new_folder(spark, "owned")
-    token = _owner.set(path)
+    outside = spark.sparkContext.getLocalProperty(OWNER)
+    spark.sparkContext.setLocalProperty(OWNER, path)
     try:
         yield
     finally:
-        _owner.reset(token)
+        spark.sparkContext.setLocalProperty(OWNER, outside)
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 

@@ -177,6 +177,9 @@ class FakeContext:
     def getCheckpointDir(self):
         return self.made
 
+    def getLocalProperty(self, name):
+        return None
+
 
 class FakeSession:
     def __init__(self, named, master):
