@@ -18,8 +18,6 @@ from lexiloom.session import stage
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-# Rows that a range of keys holds about; the one at a source's cut is sorted in one task.
-RANGE_ROWS = 50_000
 SEED = "mix"
 
 
@@ -82,8 +80,9 @@ def mix_sources(
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
     key = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name)), 1, 16)
     sized = stage(docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), key.alias("key")), "mix-sizes")
-    # So many leading hex digits of a key name its range.
-    digits = max(1, math.ceil(math.log(max(sized.count(), 1) / RANGE_ROWS, 16)))
+    # So many leading hex digits of a key name its range: there are about as many
+    # ranges as a range has rows, and one task sees either once for a source.
+    digits = max(1, math.ceil(math.log(math.sqrt(max(sized.count(), 1)), 16)))
     sized = sized.withColumn("range", F.substring("key", 1, digits))
 
     ranges = stage(sized.groupBy("source", "range").agg(F.sum("size").alias("words")), "mix-ranges")
