@@ -79,13 +79,16 @@ def file_rows(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Dat
     no columns; only files without any are opened as a whole, on executors, to
     tell empty ones from broken ones.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    binary = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    # A file of which not even the bytes can be read is passed over here, and so has no rows told.
+    listed = binary.option("ignoreCorruptFiles", "true").load(path)
     scan = spark.read.schema("_none INT").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     filled = scan.option("ignoreCorruptFiles", "true").parquet(path).groupBy(_address(F.col("_metadata.file_path")).alias("file"))
     counts = filled.agg(F.count(F.lit(1)).alias("rows"))
     bare = listed.select("path", _address(F.col("path")).alias("file")).join(counts, "file", "left_anti")
     opened = listed.join(bare.select("path"), "path", "left_semi").select(_address(F.col("path")).alias("file"), "content")
-    return counts.unionByName(opened.mapInArrow(_footers, "file string, rows long"))
+    told = opened.mapInArrow(_footers, "file string, rows long")
+    return counts.unionByName(bare.select("file").join(told, "file", "left"))
 
 
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -152,3 +152,16 @@ def test_a_table_with_a_broken_file_is_not_published(spark, batches, folder):
     with pytest.raises(Exception, match="no footer in"):
         writers.publish_table(spark, batches, f"{folder}/p")
     assert writers.last_version(spark, f"{folder}/p") == 0
+
+
+def test_a_file_that_fails_its_checksum_is_named(spark, folder):
+    """Spark cannot even read its bytes, as the writer's checksum lies beside it."""
+    numbers(spark, 10, f"{folder}/t/batch=batch_0_10")
+    numbers(spark, 10, f"{folder}/t/batch=batch_10_20")
+    broken = part_of(f"{folder}/t/batch=batch_10_20")
+    with open(broken, "wb") as file:
+        file.write(b"no parquet")
+    told = {r.file.split("batch=")[1].split("/")[0]: r.rows for r in readers.file_rows(spark, f"{folder}/t").collect()}
+    assert told == {"batch_0_10": 10, "batch_10_20": None}
+    (named,) = readers.skipped_files(spark, f"{folder}/t", SCHEMA).collect()
+    assert named.file == f"file:{broken}"
