@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexiloom.functions.names import batch_id
 from lexiloom.operators import detection, dictionary, export, indexing, pairs, translation
@@ -191,7 +192,8 @@ def _resumable(
     todo = df if skip is None else indexing.slice_by_index(df, skip, max_rows, index)
     with staging(spark):
         if writers.exists(spark, out):
-            before = spark.read.parquet(out).filter(F.col("status") == translation.OK)
+            told = StructType([todo.schema[index]]).add("status", "string")
+            before = spark.read.schema(told).parquet(out).filter(F.col("status") == translation.OK)
             todo = indexing.pending(todo, before, index)
         done = translate(todo)
         writers.append_run(done, out)
