@@ -22,6 +22,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# What a version number is taken with on a local disk.
+CLAIM = ".claim-"
 CSV_READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true"}
 
 
@@ -97,15 +99,17 @@ def publish_table(spark: SparkSession, table: str, target: str) -> DataFrame:
     file by its footer; no row is read or copied, so ``table`` has to stay as it
     is. The record gets its number by one rename that fails where the number is
     taken: of two publishers at once each gets a version of its own, and readers
-    (``read_published``) never see half a record. A file without a footer is an error.
+    (``read_published``) never see half a record. Where renaming does not fail so, on
+    a local disk, the number is first taken by making a folder, which does; a number
+    whose publisher died in between stays free. A file without a footer is an error.
     """
     staged = f"{target}/.staged-{uuid.uuid4().hex}"
     broken = F.raise_error(F.concat(F.lit("no footer in "), "file")).cast("bigint")
     files = file_rows(spark, table).select("file", F.coalesce("rows", broken).alias("rows"))
     files.coalesce(1).write.parquet(staged)  # a line for each file
     while True:
-        version = last_version(spark, target) + 1
-        if _renamed(spark, staged, f"{target}/version={version}"):
+        version = max(last_version(spark, target), last_version(spark, target, CLAIM)) + 1
+        if _claimed(spark, f"{target}/{CLAIM}{version}") and _renamed(spark, staged, f"{target}/version={version}"):
             break
     total = F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
     return published_files(spark, target, version).agg(total).select(F.lit(version).cast("bigint").alias("version"), "rows")
@@ -123,6 +127,22 @@ def read_published(spark: SparkSession, target: str, schema: str | StructType, v
     return spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
 
 
+def _claimed(spark: SparkSession, claim: str) -> bool:
+    """On a local disk, whether the folder ``claim`` could be made anew; else there is no need."""
+    files, where = _filesystem(spark, claim)
+    if files.getUri().getScheme() != "file":
+        return True
+    jvm = spark._jvm
+    none = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+    try:
+        jvm.java.nio.file.Files.createDirectory(jvm.java.nio.file.Path.of(files.makeQualified(where).toUri()), none)
+    except Py4JJavaError:
+        if exists(spark, claim):
+            return False
+        raise
+    return True
+
+
 def _renamed(spark: SparkSession, source: str, target: str) -> bool:
     """Gives a folder its name unless the name is taken."""
     jvm = spark._jvm
@@ -155,13 +175,13 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return files.exists(where) and files.getFileStatus(where).isFile()
 
 
-def last_version(spark: SparkSession, target: str) -> int:
+def last_version(spark: SparkSession, target: str, prefix: str = "version=") -> int:
     """The highest version folder there is, 0 without one (names only are listed)."""
     files, where = _filesystem(spark, target)
     if not files.exists(where):
         return 0
     names = [status.getPath().getName() for status in files.listStatus(where)]
-    return max((int(n.removeprefix("version=")) for n in names if n.startswith("version=")), default=0)
+    return max((int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)), default=0)
 
 
 def output_size(spark: SparkSession, path: str) -> DataFrame:

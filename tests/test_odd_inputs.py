@@ -190,7 +190,8 @@ def test_staged_tables_go_with_their_owner(spark, folder):
     before = session.stage(spark.range(3), "kept")
     with session.staging(spark):
         session.stage(spark.range(5), "dropped").write.parquet(f"{folder}/out")
-        (gone,) = session._made[-1:]
+        gone = spark.sparkContext.getLocalProperty(session.OWNER)
+        assert writers.exists(spark, gone)
     assert not writers.exists(spark, gone)
     assert before.count() == 3 and spark.read.parquet(f"{folder}/out").count() == 5
 
