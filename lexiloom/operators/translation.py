@@ -6,11 +6,14 @@ regrouped. Results carry ``status`` (``ok`` or ``quarantined``) and ``reason``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexiloom.functions.text import (
     WORD_LIMIT,
@@ -36,6 +39,10 @@ PICKED_UP, DONE = "picked up", "done"
 THOUGHT_TAG = "Thought"
 OUTPUT_TAG = "Output"
 
+# Texts that are worked on with one dictionary of their own words: rows and bytes.
+CHUNK_ROWS = 2048
+CHUNK_BYTES = 4 * 1024 * 1024
+
 
 def with_status(df: DataFrame, reason: Column) -> DataFrame:
     return df.withColumn("reason", reason).withColumn(
@@ -269,18 +276,39 @@ def translate_distinct(
     return joined.unionByName(translate_column(missing, column, engine, output))
 
 
+def _swap_words(texts: list[str | None], known: dict[str, str]) -> list[str | None]:
+    return [None if t is None else " ".join([known.get(w, w) for w in t.split(" ")]) for t in texts]
+
+
 def _swapped(shared) -> Callable[[Column], Column]:
     @F.arrow_udf("string")
     def swap(texts: pa.Array) -> pa.Array:
-        known = shared.value
-        return pa.array(
-            [None if t is None else " ".join([known.get(w, w) for w in t.split(" ")]) for t in texts.to_pylist()],
-            pa.string(),
-        )
+        return pa.array(_swap_words(texts.to_pylist(), shared.value), pa.string())
 
     return swap
 
 
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text) with the number of their chunk: neighbours of one task."""
+    chunk, rows, size = TaskContext.get().partitionId() << 32, 0, 0
+    for batch in batches:
+        numbers = []
+        for length in pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist():
+            if rows and (rows >= CHUNK_ROWS or size + length > CHUNK_BYTES):
+                chunk, rows, size = chunk + 1, 0, 0
+            rows, size = rows + 1, size + length
+            numbers.append(chunk)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], ["_row", "_text", "_chunk"])
+
+
+def _translate_chunk(texts: pa.Table, hits: pa.Table) -> pa.Table:
+    known = dict(zip(hits.column("word").to_pylist(), hits.column("_target").to_pylist(), strict=True))
+    # A target that is NULL leaves the word as it is.
+    known = {word: target for word, target in known.items() if target is not None}
+    done = pa.array(_swap_words(texts.column("_text").to_pylist(), known), pa.string())
+    return pa.table({"_row": texts.column("_row"), "_done": done})
+
+
 def translate_by_glossary_table(
     df: DataFrame, column: str, glossary: DataFrame, row_id: str, output: str = "translation"
 ) -> DataFrame:
@@ -288,29 +316,23 @@ def translate_by_glossary_table(
 
     ``glossary``: (word, target), one row per word. The distinct words of the
     column meet the glossary first, and the hits are written once. Where they
-    prove small they are broadcast as one dictionary; else they are joined with
-    frequent words salted, and each text is put together again from its own
-    words. A NULL text stays NULL.
+    prove small they are broadcast as one dictionary. Else the texts are written
+    in chunks of a few megabytes; the distinct words of each chunk meet the hits,
+    and each chunk gets its own dictionary: what is shuffled are the texts, once,
+    and those words, not every word of every text. A NULL text stays NULL.
     """
-    words = df.select(row_id, F.posexplode(F.split(column, " ")).alias("_at", "word"))
-    uses = words.groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
+    words = df.select(F.explode(F.split(column, " ")).alias("word")).distinct()
     known = glossary.select("word", F.col("target").alias("_target"))
-    used = stage(uses.join(known, "word"), "glossary-hits")
-    targets = used.select("word", "_target")
-    if is_small(used, ["word", "_target"]):
+    targets = stage(words.join(known, "word"), "glossary-hits")
+    if is_small(targets, ["word", "_target"]):
         # Each text meets the few hits where it lies: no words, no regrouping.
         hits = {r["word"]: r["_target"] for r in targets.collect()}
         shared = df.sparkSession.sparkContext.broadcast(hits)
         return df.select(row_id, _swapped(shared)(F.col(column)).alias(output))
-    joined = join_spread(words, targets, "word", [row_id, "_at"], used.select("word", "uses"))
-    text = F.array_join(
-        F.transform(
-            F.sort_array(
-                F.collect_list(F.struct("_at", F.coalesce("_target", "word").alias("word")))
-            ),
-            lambda w: w["word"],
-        ),
-        " ",
-    )
-    missing = df.filter(F.col(column).isNull()).select(row_id, F.lit(None).cast("string").alias(output))
-    return joined.groupBy(row_id).agg(text.alias(output)).unionByName(missing)
+    rows = df.select(F.col(row_id).alias("_row"), F.col(column).alias("_text"))
+    texts = stage(rows.mapInArrow(_chunked, StructType([*rows.schema]).add("_chunk", "long")), "glossary-texts")
+    said = texts.select(F.col("_chunk").alias("_in"), F.explode(F.split("_text", " ")).alias("word")).distinct()
+    found = said.join(targets, "word").groupBy("_in")
+    done = StructType([rows.schema["_row"]]).add("_done", "string")
+    translated = texts.groupBy("_chunk").cogroup(found).applyInArrow(_translate_chunk, done)
+    return translated.select(F.col("_row").alias(row_id), F.col("_done").alias(output))

@@ -219,6 +219,19 @@ def test_glossary_table_equals_glossary_map(spark, monkeypatch, small_rows):
     assert sorted(map(tuple, by_table.collect())) == sorted(map(tuple, by_map.collect()))
 
 
+def test_a_large_glossary_meets_the_words_of_a_chunk_once(spark, monkeypatch):
+    """No row for each word of each text, and rows are told apart without their ids."""
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+    monkeypatch.setattr(translation, "CHUNK_ROWS", 2)
+    rows = [(i % 3, f"the {i} and  the {'x' * i}") for i in range(11)] + [(None, "the"), (1, None), (1, "")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    table = spark.createDataFrame(list(WORDS.items()), "word string, target string")
+    by_table = translation.translate_by_glossary_table(df, "text", table, "id")
+    by_map = df.select("id", NATIVE.text(F.col("text")).alias("translation"))
+    assert sorted(map(str, by_table.collect())) == sorted(map(str, by_map.collect()))
+    assert "posexplode" not in by_table._jdf.queryExecution().executedPlan().toString()
+
+
 def test_only_tables_within_both_bounds_are_small(spark, monkeypatch):
     df = spark.createDataFrame([("é",), ("bb",), (None,)], "t string")
     assert skew.is_small(df, ["t"])
