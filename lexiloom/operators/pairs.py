@@ -16,6 +16,9 @@ BLOCK_SIZE = 1000
 REPEATS = 1
 PARTNERS = 10
 SEED = 42
+# Pairs a task forms at most on average: with two texts of some kilobytes each,
+# what it sorts by batch stays in memory.
+TASK_PAIRS = 20_000
 
 
 def _draw(seed: int, repeat: int, step: int) -> Column:
@@ -145,6 +148,11 @@ def score_stored(pairs: DataFrame, table: str) -> DataFrame:
     return scored.join(side(2, "text", "sentence2"), "idx2").join(side(1, "text", "sentence1"), "idx1")
 
 
+def tasks_for(rows: DataFrame, each: int) -> int:
+    """How many tasks are to form ``each`` pairs of every row, two at least."""
+    return max(2, -(-rows.count() * each // TASK_PAIRS))
+
+
 def similar_pairs(
     sentences: DataFrame,
     block_size: int = BLOCK_SIZE,
@@ -159,7 +167,9 @@ def similar_pairs(
     rows) becomes one row and its pairs are formed inside it. A mirrored pair
     is recognised there too: when both rows drew each other, the lower id's
     draw is the first seen and the other one is left out. ``together``
-    neighbouring blocks come out of the same task. Partners are places in the
+    neighbouring blocks come out of the same task, and there are as many tasks as
+    keep the pairs of one within ``TASK_PAIRS``: they hold each text many times
+    over, which the size of the shuffled blocks does not tell. Partners are places in the
     sorted block, so ``idx`` may have gaps. A NULL vector gives a NULL score.
     """
     members = sentences.select(
@@ -169,7 +179,8 @@ def similar_pairs(
     keys = ["batch_id"]
     if together > 1:
         # The aggregate below finds its keys together already and adds no shuffle.
-        members = members.withColumn("_group", batch_id(F.col("batch_id"), together)).repartition("_group")
+        tasks = tasks_for(sentences, min(partners * repeats, block_size - 1))
+        members = members.withColumn("_group", batch_id(F.col("batch_id"), together)).repartition(tasks, "_group")
         keys = ["_group", "batch_id"]
     blocks = members.groupBy(*keys).agg(F.sort_array(F.collect_list("member")).alias("block"))
     block, others = F.col("block"), (F.size("block") - 1).cast("bigint")

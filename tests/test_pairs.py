@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from lexiloom.functions.vectors import batch_cosine, cosine
 from lexiloom.functions import names
 from lexiloom.operators import pairs
 from lexiloom.plans import jobs
+from tests.conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -144,3 +146,13 @@ def test_job_then_consolidation(spark, sentences, folder):
     stats = jobs.consolidate(spark, f"{folder}/b", f"{folder}/csv").first()
     assert stats.self_pairs_removed == stats.duplicates_removed == 0
     assert stats.initial_pairs == stats.final_pairs == again.count()
+
+
+def test_tasks_are_counted_by_the_pairs_they_form(spark, monkeypatch):
+    """Blocks are small on their way, their pairs are not."""
+    rows = [(i, f"text {i}", [float(i % 7 + 1), 1.0]) for i in range(100)]
+    sentences = spark.createDataFrame(rows, "idx bigint, text string, embedding array<float>")
+    monkeypatch.setattr(pairs, "TASK_PAIRS", 50)
+    plan = plan_of(pairs.similar_pairs(sentences, block_size=10, partners=4, together=1 + 1))
+    assert re.search(r"hashpartitioning\(_group#\d+L?, 8\)", plan)
+    assert pairs.similar_pairs(sentences.limit(0), block_size=10, together=2).count() == 0
