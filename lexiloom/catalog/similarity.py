@@ -54,23 +54,21 @@ def cosine_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def overlapping(spark: SparkSession, sf: str) -> DataFrame:
-    """Sampled, scored pairs with copies: close pairs mirrored, far ones as self-pairs."""
+def overlapping(spark: SparkSession, sf: str, texts: bool = True) -> DataFrame:
+    """Sampled, scored pairs with copies: close pairs mirrored, far ones as self-pairs.
+
+    Without ``texts``, ``_texted`` adds them later.
+    """
     sentences = fixtures.sentences(spark, sf)
     drawn = pairs.sample_pairs(sentences, block_size=BLOCK, partners=PARTNERS)
-    scored = pairs.score_pairs(drawn, sentences)
+    scored = pairs.score_pairs(drawn, sentences, texts)
     close, far = F.col("similarity") > 0.2, F.col("similarity") < -0.2
 
     def copy(first: str, second: str, kind: int):
-        return F.array(
-            F.struct(
-                F.col(f"idx{first}").alias("idx1"),
-                F.col(f"idx{second}").alias("idx2"),
-                F.col(f"sentence{first}").alias("sentence1"),
-                F.col(f"sentence{second}").alias("sentence2"),
-                F.lit(kind).alias("copy"),
-            )
-        )
+        ends = [F.col(f"idx{first}").alias("idx1"), F.col(f"idx{second}").alias("idx2")]
+        if texts:
+            ends += [F.col(f"sentence{first}").alias("sentence1"), F.col(f"sentence{second}").alias("sentence2")]
+        return F.array(F.struct(*ends, F.lit(kind).alias("copy")))
 
     copies = F.concat(
         copy("1", "2", 0),
@@ -83,6 +81,10 @@ ORDER = ["idx1", "rep", "rank", "copy", "idx2"]
 OVERLAP_COLUMNS = ["idx1", "idx2", "sentence1", "sentence2", "similarity"]
 
 
+def _texted(spark: SparkSession, sf: str, found: DataFrame) -> DataFrame:
+    return pairs.with_texts(found, fixtures.sentences(spark, sf)).select(*OVERLAP_COLUMNS)
+
+
 def drop_self_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.drop_self_pairs(overlapping(spark, sf))
 
@@ -91,7 +93,7 @@ def dedup_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Of a written table, texts last."""
     turned = F.col("idx1") > F.col("idx2")
     order = [(turned.cast("int"), 1), (F.col("rep"), 31), (F.col("rank"), 31), (F.col("copy"), 8)]
-    return pairs.dedup_stored(stage(overlapping(spark, sf), "overlapping"), order).select(*OVERLAP_COLUMNS)
+    return _texted(spark, sf, pairs.dedup_stored(stage(overlapping(spark, sf, texts=False), "overlapping"), order))
 
 
 def dedup_pairs_ranked(spark: SparkSession, sf: str) -> DataFrame:

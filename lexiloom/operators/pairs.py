@@ -100,20 +100,28 @@ def sample_pairs(sentences: DataFrame, **options: int) -> DataFrame:
     )
 
 
-def score_pairs(pairs: DataFrame, sentences: DataFrame) -> DataFrame:
-    """Texts and cosine for any list of pairs: two equi-joins on the row id."""
-    first = sentences.select(
-        F.col("idx").alias("idx1"), F.col("text").alias("sentence1"), F.col("embedding").alias("_v1")
-    )
-    second = sentences.select(
-        F.col("idx").alias("idx2"), F.col("text").alias("sentence2"), F.col("embedding").alias("_v2")
-    )
-    return (
-        pairs.join(first, "idx1")
-        .join(second, "idx2")
-        .withColumn("similarity", F.round(batch_cosine(F.col("_v1"), F.col("_v2")), 6))
-        .drop("_v1", "_v2")
-    )
+def _both_ends(pairs: DataFrame, sentences: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Adds ``names`` (column of ``sentences`` to name, less its 1 or 2) by two equi-joins."""
+    found = pairs
+    for end in ("1", "2"):
+        side = [F.col(column).alias(name + end) for column, name in names.items()]
+        found = found.join(sentences.select(F.col("idx").alias(f"idx{end}"), *side), f"idx{end}")
+    return found
+
+
+def with_texts(pairs: DataFrame, sentences: DataFrame) -> DataFrame:
+    """Any list of pairs with both texts: for pairs scored without them, once few are left."""
+    return _both_ends(pairs, sentences, {"text": "sentence"})
+
+
+def score_pairs(pairs: DataFrame, sentences: DataFrame, texts: bool = True) -> DataFrame:
+    """Texts and cosine for any list of pairs: two equi-joins on the row id.
+
+    Without ``texts`` the cosine alone; ``with_texts`` adds them later.
+    """
+    names = {"text": "sentence", "embedding": "_v"} if texts else {"embedding": "_v"}
+    scored = _both_ends(pairs, sentences, names)
+    return scored.withColumn("similarity", F.round(batch_cosine(F.col("_v1"), F.col("_v2")), 6)).drop("_v1", "_v2")
 
 
 def store_vectors(sentences: DataFrame, path: str, buckets: int = 64) -> str:

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lexiloom.catalog import similarity
 from lexiloom.operators import detection, pairs
 from lexiloom.session import stage
 from tests.conftest import plan_of
@@ -92,3 +93,22 @@ def test_payload_rows_are_not_shuffled(spark):
     kept = detection.without_detections_anti(rows, "id")
     assert sorted(r.id for r in kept.collect()) == [i for i in range(50) if i % 3]
     assert "hashpartitioning" not in plan_of(kept)
+
+
+@pytest.mark.parametrize("dedup", [similarity.dedup_pairs])
+def test_pairs_are_scored_and_deduplicated_without_texts(spark, folder, monkeypatch, dedup):
+    """Texts are given to the pairs that are left, the same as if they had been there."""
+    maker = random.Random(3)
+    rows = [(i, [maker.uniform(-1, 1) for _ in range(8)]) for i in range(130)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    texts = [(i, f"text {i}") for i in range(140)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    whole = pairs.dedup_pairs(similarity.overlapping(spark, folder), similarity.ORDER).select(*similarity.OVERLAP_COLUMNS)
+    seen = []
+    for name in ("dedup_stored", "dedup_pairs_ranked"):
+        plain = getattr(pairs, name)
+        monkeypatch.setattr(pairs, name, lambda found, order, plain=plain: seen.append(found.columns) or plain(found, order))
+    once = dedup(spark, folder)
+    assert once.columns == similarity.OVERLAP_COLUMNS
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, whole.collect()))
+    assert seen and not any("sentence" in column for columns in seen for column in columns)
