@@ -97,7 +97,8 @@ def dedup_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_pairs_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return pairs.dedup_pairs_ranked(overlapping(spark, sf), ORDER).select(*OVERLAP_COLUMNS)
+    """Texts last, to the pairs that are left."""
+    return _texted(spark, sf, pairs.dedup_pairs_ranked(overlapping(spark, sf, texts=False), ORDER))
 
 
 def pair_dedup_stats(spark: SparkSession, sf: str) -> DataFrame:

@@ -95,7 +95,7 @@ def test_payload_rows_are_not_shuffled(spark):
     assert "hashpartitioning" not in plan_of(kept)
 
 
-@pytest.mark.parametrize("dedup", [similarity.dedup_pairs])
+@pytest.mark.parametrize("dedup", [similarity.dedup_pairs, similarity.dedup_pairs_ranked])
 def test_pairs_are_scored_and_deduplicated_without_texts(spark, folder, monkeypatch, dedup):
     """Texts are given to the pairs that are left, the same as if they had been there."""
     maker = random.Random(3)
