@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import errno
+import os
+import shutil
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,6 +81,48 @@ def write_batches(
     )
 
 
+def write_files(df: DataFrame, path: str) -> None:
+    """A text file for each row of a one-column table, in a folder for each task.
+
+    A folder is committed by one rename, whatever the number of its files, and folders
+    are listed by tasks. On a local disk the tasks write the files themselves: through
+    Hadoop each would cost two processes that set its rights.
+    """
+    spark = df.sparkSession
+    files, where = _filesystem(spark, path)
+    if files.getUri().getScheme() != "file":
+        placed = df.withColumn("folder", F.spark_partition_id())
+        placed.write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
+        return
+    files.mkdirs(where)
+    values = df.select(F.col(f"`{df.columns[0]}`").cast("binary").alias("value"))
+    values.mapInArrow(_local_files(where.toUri().getPath()), "files long").agg(F.sum("files")).collect()
+
+
+def _local_files(root: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes the rows of a task under a hidden name; the first attempt to end names the folder."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        part, done = task.partitionId(), 0
+        staged = f"{root}/.folder-{part}-{task.taskAttemptId()}"
+        os.makedirs(staged)
+        for batch in batches:
+            for value in batch.column(0):
+                with open(f"{staged}/part-{part:05d}-{done:06d}.txt", "wb") as file:
+                    file.write((value.as_py() or b"") + b"\n")
+                done += 1
+        try:
+            os.rename(staged, f"{root}/folder={part}")
+        except OSError as taken:
+            if taken.errno not in (errno.EEXIST, errno.ENOTEMPTY):
+                raise
+            shutil.rmtree(staged)
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], ["files"])
+
+    return write
+
+
 def append_run(df: DataFrame, path: str) -> None:
     """Adds one run's rows, good and quarantined apart, with the time of the run."""
     (

@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from lexiloom.catalog import images
 from lexiloom.operators import detection, export
 from lexiloom.plans import jobs
 from lexiloom.schemas import IMAGE_ROWS, conform
@@ -186,3 +189,22 @@ def test_native_detector_needs_no_shuffle(rows):
 
     plan = plan_of(detection.without_detections(rows, outside=Detector).select(F.col("id")))
     assert "Exchange" not in plan
+
+
+def test_a_file_for_each_row(spark, folder):
+    """In a folder for each task, without a file of checksums for each."""
+    rows = spark.createDataFrame([("a\nb",), ("",), (None,), ("漢",), ("a\nb",)], "value string").repartition(3)
+    writers.write_files(rows, f"{folder}/files")
+    names = [p.relative_to(f"{folder}/files").parts for p in Path(folder, "files").rglob("*") if p.is_file()]
+    assert len(names) == 5 and all(len(n) == 2 and n[0].startswith("folder=") and n[1].startswith("part-") for n in names)
+    read = readers.scan_binary(spark, f"{folder}/files", "part-*").collect()
+    assert sorted(bytes(r.payload).decode() for r in read) == ["\n", "\n", "a\nb\n", "a\nb\n", "漢\n"]
+    writers.write_files(rows.limit(0), f"{folder}/none")
+    assert readers.scan_binary(spark, f"{folder}/none", "part-*").count() == 0
+
+
+def test_page_files_are_opened_in_few_tasks(spark, folder):
+    pages = [(i, f"u{i}", "x 漢" if i % 10 == 4 else f"text {i}") for i in range(100)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    found = images.scan_binary(spark, folder)
+    assert found.rdd.getNumPartitions() <= 16 and found.count() == 100
