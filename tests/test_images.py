@@ -9,6 +9,7 @@ from lexiloom.operators import detection, export
 from lexiloom.plans import jobs
 from lexiloom.schemas import IMAGE_ROWS, conform
 from lexiloom.sources import readers, writers
+from tests.conftest import plan_of
 
 HAN, PLAIN = "漢".encode(), b"plain"
 
@@ -203,8 +204,11 @@ def test_a_file_for_each_row(spark, folder):
     assert readers.scan_binary(spark, f"{folder}/none", "part-*").count() == 0
 
 
-def test_page_files_are_opened_in_few_tasks(spark, folder):
+def test_page_files_are_opened_in_few_tasks_and_once_for_their_names(spark, folder):
     pages = [(i, f"u{i}", "x 漢" if i % 10 == 4 else f"text {i}") for i in range(100)]
     spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{folder}/pages.parquet")
     found = images.scan_binary(spark, folder)
     assert found.rdd.getNumPartitions() <= 16 and found.count() == 100
+    kept = images.filter_by_path(spark, folder)
+    assert "binaryFile" not in plan_of(kept)
+    assert sorted(r.page_id for r in kept.collect()) == [i for i in range(100) if i % 10 not in (4, 5)]
