@@ -119,9 +119,13 @@ def job_similarity_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, sf: str, chosen: str = "true") -> str:
-    """Overlapping pairs written one folder per batch of first rows."""
+    """Overlapping pairs written one folder per batch of first rows.
+
+    A batch is a block, so its pairs lie together once they have their texts.
+    """
     path = new_folder(spark, "batches")
-    rows = overlapping(spark, sf).filter(chosen).select(
+    found = overlapping(spark, sf, texts=False).filter(chosen)
+    rows = pairs.with_block_texts(found, fixtures.sentences(spark, sf), BLOCK, 2 * PARTNERS).select(
         names.batch_id(F.least("idx1", "idx2"), BLOCK).alias("batch_id"),
         "idx1",
         "idx2",
@@ -129,7 +133,7 @@ def _batches(spark: SparkSession, sf: str, chosen: str = "true") -> str:
         "sentence2",
         "similarity",
     )
-    writers.write_batches(rows, path, size=BLOCK)
+    writers.write_batches(rows, path, size=BLOCK, gather=False)
     return path
 
 

@@ -114,6 +114,33 @@ def with_texts(pairs: DataFrame, sentences: DataFrame) -> DataFrame:
     return _both_ends(pairs, sentences, {"text": "sentence"})
 
 
+def with_block_texts(pairs: DataFrame, sentences: DataFrame, block_size: int, each: int) -> DataFrame:
+    """As ``with_texts``, for pairs whose two rows lie in one block; another pair is an error.
+
+    A text is shuffled once, not with each of its pairs: a block's pairs meet all its
+    texts, and come out of one task. There are as many tasks as keep the pairs of one
+    within ``TASK_PAIRS``, where a row makes about ``each``.
+    """
+    tasks = tasks_for(sentences, each)
+    block = batch_id(F.col("idx"), block_size).alias("_block")
+    texts = (
+        sentences.select(block, "idx", F.struct("text").alias("_text"))
+        .repartition(tasks, "_block")
+        .groupBy("_block", "idx")
+        .agg(F.collect_list("_text").alias("_texts"))
+        .groupBy("_block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("idx", "_texts"))).alias("_texts"))
+    )
+    first, second = (batch_id(F.col(end), block_size) for end in ("idx1", "idx2"))
+    apart = F.raise_error(F.lit("a pair lies in two blocks")).cast("bigint")
+    placed = pairs.filter("idx1 IS NOT NULL AND idx2 IS NOT NULL").withColumn("_block", F.when(first == second, first).otherwise(apart))
+    found = placed.repartition(tasks, "_block").join(texts, "_block")
+    for end in ("1", "2"):
+        found = found.withColumn(f"_text{end}", F.explode(F.try_element_at("_texts", F.col(f"idx{end}"))))
+    named = [F.col(f"_text{end}.text").alias(f"sentence{end}") for end in ("1", "2")]
+    return found.select(*[F.col(f"`{c}`") for c in pairs.columns], *named)
+
+
 def score_pairs(pairs: DataFrame, sentences: DataFrame, texts: bool = True) -> DataFrame:
     """Texts and cosine for any list of pairs: two equi-joins on the row id.
 

@@ -112,3 +112,37 @@ def test_pairs_are_scored_and_deduplicated_without_texts(spark, folder, monkeypa
     assert once.columns == similarity.OVERLAP_COLUMNS
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, whole.collect()))
     assert seen and not any("sentence" in column for columns in seen for column in columns)
+
+
+def test_texts_by_block_are_those_of_two_joins(spark):
+    """Repeated ids, missing ids and NULL texts too; only texts and pairs without texts are moved."""
+    rows = [(0, "a"), (1, None), (2, "c"), (2, "c too"), (11, "x"), (12, ""), (None, "n")]
+    sentences = spark.createDataFrame(rows, "idx bigint, text string")
+    found = [(0, 1, 0.1), (2, 2, 0.2), (2, 0, 0.2), (2, 0, 0.2), (11, 12, None), (11, 13, 0.3), (None, 1, 0.4), (1, None, 0.5)]
+    drawn = spark.createDataFrame(found, "idx1 bigint, idx2 bigint, similarity double")
+    by_block, joined = pairs.with_block_texts(drawn, sentences, 10, 2), pairs.with_texts(drawn, sentences)
+    assert by_block.columns == ["idx1", "idx2", "similarity", "sentence1", "sentence2"]
+    key = lambda r: repr((r.idx1, r.idx2, r.similarity, r.sentence1, r.sentence2))
+    assert sorted(map(key, by_block.collect())) == sorted(map(key, joined.collect())) and by_block.count() == 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan_of(pairs.with_block_texts(drawn, sentences, 10, 2)).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(Exception, match="two blocks"):
+        pairs.with_block_texts(spark.createDataFrame([(2, 11, 0.1)], drawn.schema), sentences, 10, 2).collect()
+
+
+def test_batches_are_scored_without_texts(spark, folder, monkeypatch):
+    maker = random.Random(3)
+    rows = [(i, [maker.uniform(-1, 1) for _ in range(8)]) for i in range(130)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    texts = [(i, f"text {i}") for i in range(140)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    whole = similarity.overlapping(spark, folder).select(*similarity.OVERLAP_COLUMNS)
+    scored, seen = pairs.score_pairs, []
+    monkeypatch.setattr(pairs, "score_pairs", lambda *given: seen.append(scored(*given)) or seen[-1])
+    for query in (similarity.read_batches, similarity.union_batches, similarity.order_batches):
+        found = query(spark, folder).select(*similarity.OVERLAP_COLUMNS)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+    assert len(seen) == 4 and not any("sentence" in column for one in seen for column in one.columns)
