@@ -135,30 +135,40 @@ def without_rejected(df: DataFrame, rejected: DataFrame, index: str, buckets: in
     numbers are worked on range by range, and of a table stored in their order
     each range reads only its own files. A NULL number is not rejected.
     """
-    number = F.col(rejected.columns[0])
+    return _by_number(df, rejected, index, False, buckets)
+
+
+def only_chosen(df: DataFrame, chosen: DataFrame, index: str, buckets: int = BITMAP_BUCKETS) -> DataFrame:
+    """In the same way the rows whose number is in ``chosen``; a NULL number is not."""
+    return _by_number(df, chosen, index, True, buckets)
+
+
+def _by_number(df: DataFrame, numbers: DataFrame, index: str, keep: bool, buckets: int) -> DataFrame:
+    number = F.col(numbers.columns[0])
     bitmaps = stage(
-        rejected.filter(number.isNotNull())
+        numbers.filter(number.isNotNull())
         .groupBy(F.bitmap_bucket_number(number).alias("_bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bitmap")),
         "bitmaps",
     )
     low, high = bitmaps.agg(F.min("_bucket"), F.max("_bucket")).first()
     if low is None:
-        return df
+        return df.filter(F.lit(False)) if keep else df
     bucket, position = F.bitmap_bucket_number(F.col(index)), F.bitmap_bit_position(F.col(index))
     byte = F.conv(F.hex(F.substring("_bitmap", F.call_function("div", position, F.lit(8)).cast("int") + 1, F.lit(1))), 16, 10)
     hit = F.call_function("shiftright", byte.cast("int"), (position % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-    def untouched(rows: DataFrame, some: DataFrame) -> DataFrame:
+    def tested(rows: DataFrame, some: DataFrame) -> DataFrame:
         joined = rows.withColumn("_bucket", bucket).join(F.broadcast(some), "_bucket", "left")
-        return joined.filter(~F.coalesce(hit, F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns])
+        return joined.filter(F.coalesce(hit, F.lit(False)) == keep).select(*[F.col(f"`{c}`") for c in df.columns])
 
     if high - low < buckets:
-        return untouched(df, bitmaps)
-    out = df.filter(F.coalesce((bucket < low) | (bucket > high), F.lit(True)))
+        return tested(df, bitmaps)
+    outside = F.coalesce((bucket < low) | (bucket > high), F.lit(True))
+    out = df.filter(F.lit(False) if keep else outside)
     for first in range(low, high + 1, buckets):
         inside = lambda b: (b >= first) & (b < first + buckets)  # noqa: B023, E731
-        out = out.unionByName(untouched(df.filter(inside(bucket) & (bucket <= high)), bitmaps.filter(inside(F.col("_bucket")))))
+        out = out.unionByName(tested(df.filter(inside(bucket) & (bucket <= high)), bitmaps.filter(inside(F.col("_bucket")))))
     return out
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiloom.session import new_folder
+from lexiloom.sources.readers import file_mark
 from lexiloom.sources.writers import is_file
 
 
@@ -53,6 +54,25 @@ def read_indexed(spark: SparkSession, *paths: str, name: str = "index") -> DataF
     )
 
 
+def number_rows(df: DataFrame, files: DataFrame, name: str = "index") -> DataFrame:
+    """Rows of many files with their position over all of them, from 0.
+
+    ``files`` is a written table of ``readers.file_rows``. The same as ``read_indexed``
+    for a scan that is there already and may pass over files: these leave gaps. A row
+    of a file that is not told of is an error.
+    """
+    alike = F.raise_error(F.lit("two files have one address hash"))
+    offsets = (
+        _file_offsets(files.filter("rows > 0").select(F.col("file").alias("_file"), F.col("rows").alias("_rows")))
+        .groupBy(file_mark(F.col("_file")).alias("_file_mark"))
+        .agg(F.when(F.count(F.lit(1)) == 1, F.min("_before")).otherwise(alike.cast("bigint")).alias("_before"))
+    )
+    unknown = F.raise_error(F.lit("rows of a file that was not listed")).cast("bigint")
+    placed = df.select("*", file_mark(F.col("_metadata.file_path")).alias("_file_mark"), F.col("_metadata.row_index").alias("_place"))
+    number = F.coalesce(F.col("_before"), unknown) + F.col("_place")
+    return placed.join(F.broadcast(offsets), "_file_mark", "left").select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))
+
+
 def with_order_index(df: DataFrame, *keys: str, name: str = "index") -> DataFrame:
     """Position in the order of ``keys`` (unique together), from 0 without gaps.
 

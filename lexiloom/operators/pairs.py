@@ -274,6 +274,15 @@ def dedup_pairs(pairs: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def first_numbers(pairs: DataFrame, order: list[str], number: str) -> DataFrame:
+    """(``number``): which rows ``dedup_pairs`` keeps, by a column that tells rows apart.
+
+    Of rows alike in ``order`` it is the lowest number. Texts are not looked at.
+    """
+    first = F.min(F.struct(*order, number)).alias("_first")
+    return drop_self_pairs(pairs).groupBy(*_pair_key()).agg(first).select(F.col(f"_first.{number}"))
+
+
 def packed_order(order: list[tuple[Column, int]]) -> Column:
     """One number that orders rows as the columns do one after another.
 

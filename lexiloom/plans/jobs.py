@@ -20,7 +20,7 @@ from lexiloom.schemas import (
     TRIPLET_COLUMNS,
     conform,
 )
-from lexiloom.session import staging
+from lexiloom.session import stage, staging
 from lexiloom.sources import readers, writers
 
 
@@ -88,26 +88,37 @@ def sentence_similarity(
 def consolidate(spark: SparkSession, batches: str, out: str) -> DataFrame:
     """Batch outputs to one deduplicated CSV; returns the statistics.
 
-    The batches are read once: pairs are counted on their way into the CSV. So are
-    the rows of each file, in one sum over hashes of their addresses, which is held
-    against the footers. Only where that differs are the files read again, to name
-    those that are broken (``out``-skipped: file, rows, read); ``files_skipped``
-    counts them. If the counts cannot be right (Spark counts a redone task again)
-    they are taken from the batches as well.
+    The batches are read twice and no text is shuffled: the first time pairs are
+    counted and the places found of those that stay, the second time these go into the
+    CSV from where they lie. Both times all columns are read, so that the second sees
+    the rows of the first. The rows of each file are counted as well, in one sum over
+    hashes of their addresses, which is held against the footers. Only where that
+    differs are the files read again, to name those that are broken (``out``-skipped:
+    file, rows, read); ``files_skipped`` counts them. If the counts cannot be right
+    (Spark counts a redone task again) they are taken from the batches as well.
     """
     loaded = readers.read_batches(spark, batches, SCORED_PAIRS)
     seen, left = Observation("loaded"), Observation("written")
     own = F.count_if(F.col("idx1") == F.col("idx2")).alias("own")
-    mark = readers.file_mark(F.col("_metadata.file_path"))
-    watched = loaded.observe(seen, F.count(F.lit(1)).alias("rows"), own, F.sum(mark).alias("mark"))
-    first_seen = ["batch_no", "idx1", "idx2", "similarity"]
-    final = pairs.dedup_pairs(watched, first_seen).observe(left, F.count(F.lit(1)).alias("rows"))
-    writers.write_csv(conform(final, SCORED_PAIR_COLUMNS), out)
-    footers = readers.file_rows(spark, batches).agg(
-        F.count_if(F.col("rows").isNull()).alias("broken"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.sum(readers.file_mark(F.col("file")) * F.col("rows")).alias("mark"),
-    ).first()
+    mark = F.sum("_mark").alias("mark")
+    texts = [F.count(name).alias(name) for name in ("sentence1", "sentence2")]
+    with staging(spark):
+        files = stage(readers.file_rows(spark, batches), "batch-files")
+        marked = loaded.withColumn("_mark", readers.file_mark(F.col("_metadata.file_path")))
+        numbered = indexing.number_rows(marked, files, "_number")
+        watched = numbered.observe(seen, F.count(F.lit(1)).alias("rows"), own, mark, *texts)
+        first_seen = ["batch_no", "idx1", "idx2", "similarity"]
+        first = stage(pairs.first_numbers(watched, first_seen, "_number"), "first-seen")
+        final = detection.only_chosen(numbered, first, "_number").observe(left, F.count(F.lit(1)).alias("rows"))
+        writers.write_csv(conform(final, SCORED_PAIR_COLUMNS), out)
+        final_pairs = first.count()
+        footers = files.agg(
+            F.count_if(F.col("rows").isNull()).alias("broken"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.sum(readers.file_mark(F.col("file")) * F.col("rows")).alias("mark"),
+        ).first()
+    if left.get["rows"] < final_pairs:
+        raise RuntimeError("the batches changed while they were read")
     whole = not footers.broken and (seen.get["mark"] or 0) == (footers.mark or 0)
     none = spark.createDataFrame([], "file STRING, rows BIGINT, read BIGINT")
     writers.write_table(none if whole else readers.skipped_files(spark, batches, SCORED_PAIRS), f"{out}-skipped")
@@ -115,7 +126,7 @@ def consolidate(spark: SparkSession, batches: str, out: str) -> DataFrame:
     skipped, lost = broken.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce("rows", "read") - F.col("read")), F.lit(0))).first()
     if seen.get["rows"] != footers.rows - lost:
         return pairs.pair_dedup_stats(loaded).withColumn("files_skipped", F.lit(skipped))
-    total, selves, final_pairs = seen.get["rows"], seen.get["own"], left.get["rows"]
+    total, selves = seen.get["rows"], seen.get["own"]
     row = (total, selves, total - selves - final_pairs, final_pairs, skipped)
     names = ("initial_pairs", "self_pairs_removed", "duplicates_removed", "final_pairs", "files_skipped")
     return spark.createDataFrame([row], ", ".join(f"{n} BIGINT" for n in names))

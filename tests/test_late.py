@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from lexiloom.catalog import similarity
 from lexiloom.operators import detection, pairs
+from lexiloom.plans import jobs
+from lexiloom.schemas import SCORED_PAIRS
 from lexiloom.session import stage
+from lexiloom.sources import readers, writers
 from tests.conftest import plan_of
 
 ROWS = [(1, 2, 0.5, 0), (2, 1, 0.5, 1), (3, 3, 1.0, 2), (5, 4, 0.1, 3), (4, 5, 0.1, 4), (1, 2, 0.5, 5), (7, 6, 0.2, 6), (8, 9, None, None), (9, 8, None, 7), (None, 1, 0.1, 8)]
@@ -133,6 +136,33 @@ def test_texts_by_block_are_those_of_two_joins(spark):
         pairs.with_block_texts(spark.createDataFrame([(2, 11, 0.1)], drawn.schema), sentences, 10, 2).collect()
 
 
+@pytest.mark.parametrize("buckets", [8192, 3, 1])
+def test_chosen_numbers(spark, buckets):
+    rows = spark.range(0, 400_000, 7).select("id", F.lit("payload").alias("images")).union(spark.createDataFrame([(None, "x")], "id bigint, images string"))
+    chosen = spark.createDataFrame([(7,), (14,), (32_767 * 7,), (399_994,), (5,), (None,)], "n bigint")
+    assert sorted(r.id for r in detection.only_chosen(rows, chosen, "id", buckets).collect()) == [7, 14, 229369, 399994]
+    assert detection.only_chosen(rows, chosen.filter("false"), "id", buckets).count() == 0
+
+
+def test_consolidation_moves_no_text(spark, folder, monkeypatch):
+    """What goes into the CSV lies where it was read; copies of a pair in several batches, ties and NULLs."""
+    maker = random.Random(5)
+    rows = [(maker.choice([None, *range(6)]), maker.randrange(6), f"s {n}\n", f"t {n}", maker.choice([None, 0.5, float("nan")]), maker.randrange(4)) for n in range(200)]
+    made = spark.createDataFrame(rows, "idx1 bigint, idx2 bigint, sentence1 string, sentence2 string, similarity double, batch_id bigint")
+    writers.write_batches(made, f"{folder}/b", size=10)
+    given, plain = [], writers.write_csv
+    monkeypatch.setattr(writers, "write_csv", lambda df, *rest: given.append(plan_of(df)) or plain(df, *rest))
+    stats = jobs.consolidate(spark, f"{folder}/b", f"{folder}/csv").first()
+    assert "hashpartitioning" not in given[0]
+    loaded = readers.read_batches(spark, f"{folder}/b", SCORED_PAIRS)
+    once = pairs.dedup_pairs(loaded, ["batch_no", "idx1", "idx2", "similarity"]).collect()
+    written = spark.read.options(**writers.CSV_READ_OPTIONS).schema(SCORED_PAIRS).csv(f"{folder}/csv").collect()
+    key = lambda r: repr((r.idx1, r.idx2, r.similarity))
+    assert sorted(map(key, written)) == sorted(map(key, once)) and stats.final_pairs == len(once)
+    own = sum(r[0] == r[1] for r in rows)
+    assert (stats.initial_pairs, stats.self_pairs_removed, stats.files_skipped) == (200, own, 0)
+
+
 def test_batches_are_scored_without_texts(spark, folder, monkeypatch):
     maker = random.Random(3)
     rows = [(i, [maker.uniform(-1, 1) for _ in range(8)]) for i in range(130)]
