@@ -196,7 +196,7 @@ def output_size(spark: SparkSession, sf: str) -> DataFrame:
     """Of all documents as text, a line each, in a given number of files."""
     path = new_folder(spark, "lines")
     line = F.concat_ws(" ", F.col("doc_id").cast("string"), F.translate("text", "\n", " "))
-    fixtures.table(spark, sf, "documents").select(line.alias("value")).repartition(FILES).write.text(path)
+    writers.write_lines(fixtures.table(spark, sf, "documents").select(line.alias("value")), path, FILES)
     return writers.output_size(spark, path)
 
 

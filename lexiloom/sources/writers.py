@@ -7,16 +7,18 @@ import os
 import shutil
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lexiloom.functions.names import batch_name
 from lexiloom.schemas import lists_as_json
+from lexiloom.session import new_folder
 from lexiloom.sources.readers import file_rows
 
 # CSV dialect, quotes doubled and only where needed, no trimming.
@@ -99,6 +101,21 @@ def write_files(df: DataFrame, path: str) -> None:
     values.mapInArrow(_local_files(where.toUri().getPath()), "files long").agg(F.sum("files")).collect()
 
 
+def write_lines(df: DataFrame, path: str, files: int) -> None:
+    """A one-column table as text in that many files (fewer if it has fewer rows).
+
+    Rows are dealt in turn where they lie, with no shuffle, to a staged table that is
+    compressed more than shuffled rows are: the one task that writes a file reads that.
+    """
+    turn = F.pmod(F.spark_partition_id() + F.monotonically_increasing_id(), F.lit(files))
+    staged = new_folder(df.sparkSession, "dealt")
+    df.withColumn("_file", turn).write.option("compression", "zstd").partitionBy("_file").parquet(staged)
+    dealt = df.sparkSession.read.schema(StructType([*df.schema, StructField("_file", LongType())])).parquet(staged)
+    rows = lambda n: dealt.filter(F.col("_file") == n).select(*[F.col(f"`{c}`") for c in df.columns])
+    # Spark unites tables of one partition to one partition; a scan without files is of none.
+    reduce(DataFrame.union, [rows(n).coalesce(1) for n in range(files)], rows(files)).write.text(path)
+
+
 def _local_files(root: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Writes the rows of a task under a hidden name; the first attempt to end names the folder."""
 

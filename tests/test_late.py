@@ -176,3 +176,14 @@ def test_batches_are_scored_without_texts(spark, folder, monkeypatch):
         found = query(spark, folder).select(*similarity.OVERLAP_COLUMNS)
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
     assert len(seen) == 4 and not any("sentence" in column for one in seen for column in one.columns)
+
+
+def test_lines_in_a_given_number_of_files_without_a_shuffle(spark, folder):
+    lines = spark.range(0, 1000, 1, 7).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("value"))
+    writers.write_lines(lines, f"{folder}/lines", 4)
+    assert writers.output_size(spark, f"{folder}/lines").first().files == 4
+    read = spark.read.text(f"{folder}/lines").groupBy(F.col("_metadata.file_name")).agg(F.count(F.lit(1)).alias("n"))
+    assert sum(r.n for r in read.collect()) == 1000 and all(240 < r.n < 260 for r in read.collect())
+    assert sorted(r.value for r in spark.read.text(f"{folder}/lines").collect()) == sorted(r.value for r in lines.collect())
+    writers.write_lines(lines.limit(0), f"{folder}/none", 4)
+    assert spark.read.text(f"{folder}/none").count() == 0
